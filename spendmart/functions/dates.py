@@ -11,13 +11,13 @@ from ..schemas import DATE_PATTERN, FIRST_DAY, LAST_DAY
 def parse_day(day: Column) -> Column:
     """Date for a text of exactly eight digits that names a real day, else null.
 
-    The text is rearranged to ISO form because Spark's string-to-date cast is several times
-    faster than a pattern parse, and bad days then cost no exception each.
+    Days outside the range of a nanosecond timestamp are null too. The text is rearranged to
+    ISO form because Spark's string-to-date cast is several times faster than a pattern parse,
+    and bad days then cost no exception each.
     """
     iso = F.concat_ws("-", F.substring(day, 1, 4), F.substring(day, 5, 2), F.substring(day, 7, 2))
-    date = F.when(day.rlike("^[0-9]{8}$"), iso.try_cast("date"))
-    in_range = date.between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date"))
-    return F.when(in_range, date)
+    eight_digits = day.rlike("^[0-9]{8}$") & day.between(FIRST_DAY, LAST_DAY)
+    return F.when(eight_digits, iso.try_cast("date"))
 
 
 def day_text(date: Column) -> Column:

@@ -16,6 +16,10 @@ def record_of(line: Column, keys: list[str]) -> Column:
     return F.from_json(line, T.StructType(fields), JSON_OPTIONS)
 
 
+def looks_like_object(line: Column) -> Column:
+    return line.startswith("{") & line.endswith("}")
+
+
 def is_single_object(line: Column, record: Column) -> Column:
     """True when the (stripped) line is exactly one well-formed JSON object.
 
@@ -24,11 +28,12 @@ def is_single_object(line: Column, record: Column) -> Column:
     braces in strings, trailing text) pay for a second, tokenizing check.
     """
     parsed = record.isNotNull() & record.getField(CORRUPT).isNull()
-    braces = line.startswith("{") & line.endswith("}")
-    nothing_follows = F.instr(line, "}") == F.length(line)
+    before_brace = F.substring_index(line, "}", 1)
+    nothing_follows = F.octet_length(before_brace) == F.octet_length(line) - 1
     one_value = F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1
     return F.coalesce(
-        F.when(parsed & braces, F.when(nothing_follows, True).otherwise(one_value)), F.lit(False)
+        F.when(parsed & looks_like_object(line), F.when(nothing_follows, True).otherwise(one_value)),
+        F.lit(False),
     )
 
 

@@ -15,11 +15,14 @@ from ..schemas import COST_DECIMALS
 INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
+# Below this a cost can be scaled by 10^6 without overflow.
+LARGEST_SCALED = 1e300
+
 
 def parse_double(text: Column) -> Column:
     """Finite double, or null."""
     number = F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
-    return F.when(F.abs(number) < float("inf"), number)
+    return F.nullif(F.nullif(number, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
 def parse_long(text: Column) -> Column:
@@ -39,5 +42,4 @@ def round_cost(cost: Column) -> Column:
     A value too large to scale has no decimals and is kept.
     """
     scale = float(10**COST_DECIMALS)
-    rounded = F.rint(cost * scale) / scale
-    return F.when(F.abs(rounded) < float("inf"), rounded).otherwise(cost)
+    return F.when(F.abs(cost) < LARGEST_SCALED, F.rint(cost * scale) / scale).otherwise(cost)

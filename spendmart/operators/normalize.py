@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.json_fields import get_or_default, is_single_object, record_of
+from ..functions.json_fields import (
+    get_or_default,
+    is_single_object,
+    looks_like_object,
+    record_of,
+)
 from ..functions.text import stripped
 from ..schemas import ChannelSpec, require_columns
 from .geo import map_country_codes
@@ -19,8 +24,9 @@ def parse_lines(lines: DataFrame, spec: ChannelSpec) -> DataFrame:
     """
     require_columns(lines.columns, ["line"], "raw input")
     keys = [field.key for field in spec.fields.values()]
+    line = F.col("line")
     return (
-        lines.select(stripped(F.col("line")).alias("line"))
+        lines.select(F.when(looks_like_object(line), line).otherwise(stripped(line)).alias("line"))
         .withColumn("record", record_of(F.col("line"), keys))
         .withColumn("well_formed", is_single_object(F.col("line"), F.col("record")))
     )

@@ -19,11 +19,15 @@ REASONS = (MALFORMED, INVALID_DAY, INVALID_METRIC)
 
 
 def typed_columns() -> list[Column]:
-    """``date``, ``impressions`` and ``cost`` parsed from text; null where the text is invalid."""
+    """``date``, ``impressions`` and ``cost`` parsed from text; null where the text is invalid.
+
+    The cost is not rounded yet. Rounding is left to the next projection: within this one the
+    parse would be repeated for every mention of the value.
+    """
     return [
         parse_day(F.col("day")).alias("date"),
         parse_long(F.col("impressions")).alias("impressions"),
-        round_cost(parse_double(F.col("cost"))).alias("cost"),
+        parse_double(F.col("cost")).alias("cost"),
     ]
 
 
@@ -51,7 +55,7 @@ def validate(lines: DataFrame, spec: ChannelSpec) -> DataFrame:
         "country",
         "date",
         "impressions",
-        "cost",
+        round_cost(F.col("cost")).alias("cost"),
         reject_reason().alias("reason"),
     )
 
@@ -83,8 +87,12 @@ def drop_invalid_day(rows: DataFrame) -> DataFrame:
 def drop_invalid_metrics(rows: DataFrame) -> DataFrame:
     """Normalized text rows with numeric impressions and cost, both typed."""
     _, impressions, cost = typed_columns()
+    others = [name for name in rows.columns if name not in ("impressions", "cost")]
     typed = select_once(
-        rows, *[c for c in rows.columns if c not in ("impressions", "cost")], impressions, cost
+        rows.select(*others, impressions, cost),
+        *others,
+        "impressions",
+        round_cost(F.col("cost")).alias("cost"),
     )
     return typed.where(F.col("impressions").isNotNull() & F.col("cost").isNotNull())
 

@@ -2,25 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Cost has six decimals and rates seldom more than four; Spark widens the sum to 38 digits.
+MONEY = "decimal(28,8)"
+
+
+def total(cost: str) -> Column:
+    """Sum of a double column that does not depend on the order of addition.
+
+    Tasks finish in any order, and double sums would change with it in the last cents.
+    """
+    return F.sum(F.col(cost).cast(MONEY)).cast("double")
+
 
 def spend_by_channel_and_day(fact: DataFrame) -> DataFrame:
     return fact.groupBy("channel_id", "date_id").agg(
-        F.sum("impressions").alias("impressions"), F.sum("cost_usd").alias("cost_usd")
+        F.sum("impressions").alias("impressions"), total("cost_usd").alias("cost_usd")
     )
 
 
 def top_countries(fact: DataFrame, n: int) -> DataFrame:
-    spend = fact.groupBy("country_id").agg(F.sum("cost_usd").alias("cost_usd"))
+    spend = fact.groupBy("country_id").agg(total("cost_usd").alias("cost_usd"))
     return spend.orderBy(F.desc_nulls_last("cost_usd"), F.asc_nulls_last("country_id")).limit(n)
 
 
 def cpm_by_channel(fact: DataFrame) -> DataFrame:
     """USD per thousand impressions; null when there were none."""
     sums = fact.groupBy("channel_id").agg(
-        F.sum("impressions").alias("impressions"), F.sum("cost_usd").alias("cost_usd")
+        F.sum("impressions").alias("impressions"), total("cost_usd").alias("cost_usd")
     )
     cpm = F.try_divide(F.col("cost_usd") * 1000, F.col("impressions"))
     return sums.withColumn("cpm", cpm)

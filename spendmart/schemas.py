@@ -18,8 +18,8 @@ GEO_TARGET_TYPES = ("Country", "Region")
 GEO_FIRST_ROW = 29565
 GEO_LAST_ROW = 31045
 # Earliest and latest whole day of a 64-bit nanosecond timestamp.
-FIRST_DAY = "1677-09-22"
-LAST_DAY = "2262-04-11"
+FIRST_DAY = "16770922"
+LAST_DAY = "22620411"
 # Texts a CSV reader in the pandas tradition takes as a missing value.
 MISSING_TEXTS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",

@@ -2,11 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
+
+from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import CLEAN_COLUMNS, CLEAN_FILE_ROWS, CLEAN_PARTITIONS, require_columns
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Set a session setting for the jobs run inside the block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
@@ -23,17 +40,23 @@ def write_partitioned(
 
     ``gather`` brings rows of a partition together through Spark's REBALANCE, which also cuts a
     partition that is too large into several tasks (a plain repartition would give a hot day
-    to one). Without it each task writes the days it read and nothing is shuffled: right for
+    to one). Small partitions are not merged into one task: the files stay as many, and one
+    task would open them one after another.
+
+    Without ``gather`` each task writes the days it read and nothing is shuffled: right for
     input files that are already large and hold one day each.
     """
+    tasks = nullcontext()
     if gather:
         df = df.hint("rebalance", *partitions)
+        tasks = setting(df.sparkSession, "spark.sql.adaptive.coalescePartitions.enabled", "false")
     writer = df.write.mode(mode).partitionBy(*partitions)
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if file_rows is not None:
         writer = writer.option("maxRecordsPerFile", file_rows)
-    writer.parquet(path)
+    with tasks:
+        writer.parquet(path)
 
 
 def write_clean(

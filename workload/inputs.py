@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from spendmart.functions.dates import day_text
 from spendmart.operators.geo import geo_map
 from spendmart.operators.lookup import sized_lookup
+from spendmart.operators.shape import select_once
 from spendmart.plans.fact import Lookups
 from spendmart.staging import staged
 
@@ -50,8 +51,12 @@ def first_match(branches: list[tuple[Column, Column]], otherwise: Column) -> Col
     return chosen.otherwise(otherwise)
 
 
-def flaw_of(key: Column) -> Column:
-    return first_match([(key % d == 0, F.lit(name)) for d, name in FLAWS], F.lit("none"))
+# The same text in Spark SQL and in the oracle's SQL.
+FLAW_SQL = (
+    "CASE "
+    + " ".join(f"WHEN o_orderkey % {d} = 0 THEN '{name}'" for d, name in FLAWS)
+    + " ELSE 'none' END"
+)
 
 
 def orders(spark: SparkSession, sf_dir: str, channel: str | None = None) -> DataFrame:
@@ -62,7 +67,7 @@ def orders(spark: SparkSession, sf_dir: str, channel: str | None = None) -> Data
         source = source.where(key % 2 == (0 if channel == "facebook" else 1))
     return source.select(
         key.alias("key"),
-        flaw_of(key).alias("flaw"),
+        F.expr(FLAW_SQL).alias("flaw"),
         F.col("o_orderpriority").alias("currency"),
         (F.col("o_custkey") % COUNTRIES).alias("country"),
         day_text(F.col("o_orderdate")).alias("day"),
@@ -134,12 +139,15 @@ def raw_lines(spark: SparkSession, sf_dir: str, channel: str) -> DataFrame:
         ),
         F.lit("}"),
     )
-    line = _by_flaw(
-        line,
-        truncated=F.substring(line, F.lit(1), F.length(line) - 5),
-        trailing_text=F.concat(line, F.lit(" tail}")),
+    whole = F.col("line")
+    ended = _by_flaw(
+        whole,
+        truncated=F.substring(whole, F.lit(1), F.length(whole) - 5),
+        trailing_text=F.concat(whole, F.lit(" tail}")),
     )
-    return orders(spark, sf_dir, channel).select(line.alias("line"))
+    # Built once per order, as a file's lines would be.
+    lines = select_once(orders(spark, sf_dir, channel), "flaw", line.alias("line"))
+    return lines.select(ended.alias("line"))
 
 
 def code_map(spark: SparkSession, sf_dir: str) -> DataFrame:

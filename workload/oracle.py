@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from .inputs import COUNTRIES, FLAWS, MAPPED_NATIONS, UNRATED_CURRENCY
-
-_FLAW = " ".join(f"WHEN o_orderkey % {d} = 0 THEN '{name}'" for d, name in FLAWS)
+from .inputs import COUNTRIES, FLAW_SQL, MAPPED_NATIONS, UNRATED_CURRENCY
 
 # Raw fields of every order; `reason` says why a line is rejected.
 ORDERS = f"""
 src AS (
   SELECT o_orderkey AS key,
-         CASE {_FLAW} ELSE 'none' END AS flaw,
+         {FLAW_SQL} AS flaw,
          CASE WHEN o_orderkey % 2 = 0 THEN 'facebook' ELSE 'google' END AS channel,
          o_orderpriority AS currency,
          o_custkey % {COUNTRIES} AS country_no,
@@ -158,6 +156,7 @@ _TEXT_FIELDS = (
     "currency, country, raw_day AS day, raw_impressions AS impressions, "
     "coalesce(raw_cost, '0.0') AS cost"
 )
+_TOTAL = "CAST(sum(CAST(cost_usd AS DECIMAL(28, 8))) AS DOUBLE)"
 _CLEAN_COLUMNS = "channel, currency, country, date_id, impressions, cost"
 _FACT_COLUMNS = "channel_id, date_id, country_id, impressions, cost_usd"
 
@@ -316,19 +315,19 @@ FROM clean""",
     "fact_ad_performance": _select(FACT, f"SELECT {_FACT_COLUMNS} FROM fact"),
     "rollup_channel_day": _select(
         FACT,
-        """SELECT channel_id, date_id, CAST(sum(impressions) AS BIGINT) AS impressions,
-  round(sum(cost_usd), 2) AS cost_usd FROM fact GROUP BY channel_id, date_id""",
+        f"""SELECT channel_id, date_id, CAST(sum(impressions) AS BIGINT) AS impressions,
+  round({_TOTAL}, 4) AS cost_usd FROM fact GROUP BY channel_id, date_id""",
     ),
     "rollup_country_top": _select(
         FACT,
-        """SELECT country_id, round(sum(cost_usd), 2) AS cost_usd FROM fact GROUP BY country_id
-ORDER BY sum(cost_usd) DESC NULLS LAST, country_id NULLS LAST LIMIT 10""",
+        f"""SELECT country_id, round({_TOTAL}, 4) AS cost_usd FROM fact GROUP BY country_id
+ORDER BY {_TOTAL} DESC NULLS LAST, country_id NULLS LAST LIMIT 10""",
     ),
     "cpm_by_channel": _select(
         FACT,
-        """SELECT channel_id, CAST(sum(impressions) AS BIGINT) AS impressions,
-  round(sum(cost_usd), 2) AS cost_usd,
-  round(sum(cost_usd) * 1000 / nullif(sum(impressions), 0), 2) AS cpm
+        f"""SELECT channel_id, CAST(sum(impressions) AS BIGINT) AS impressions,
+  round({_TOTAL}, 4) AS cost_usd,
+  round({_TOTAL} * 1000 / nullif(sum(impressions), 0), 4) AS cpm
 FROM fact GROUP BY channel_id""",
     ),
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spendmart.functions import dates, numbers, text
 from spendmart.operators import geo, lookup, normalize, numbering, quality
+from spendmart.operators.shape import select_once
 from spendmart.plans import clean as clean_plan
 from spendmart.plans import dims, fact, rollups
 from spendmart.schemas import CHANNELS, EXCHANGE_RATE_COLUMNS
@@ -337,7 +338,7 @@ def json_get_default(spark: SparkSession, sf: str) -> DataFrame:
     """Absent cost becomes 0.0, null impressions stay null."""
     parsed = normalize.parse_lines(inputs.raw_lines(spark, sf, "facebook"), FACEBOOK)
     fields = normalize.common_fields(FACEBOOK)
-    rows = parsed.select("well_formed", *fields).where("well_formed")
+    rows = select_once(parsed, "well_formed", *fields).where("well_formed")
     return rows.select("day", "country", "impressions", "cost")
 
 
@@ -444,22 +445,21 @@ def fact_ad_performance(spark: SparkSession, sf: str) -> DataFrame:
 # --- dashboard summaries ----------------------------------------------------
 
 
-def _in_cents(rows: DataFrame, *columns: str) -> DataFrame:
-    """Sums of doubles depend on the order of addition; cents do not."""
-    rounded = {c: F.round(c, 2) for c in columns}
-    return rows.withColumns(rounded)
+def _rounded(rows: DataFrame, *columns: str) -> DataFrame:
+    """Engines turn a decimal into a double with different last bits."""
+    return rows.withColumns({c: F.round(c, 4) for c in columns})
 
 
 @query
 def rollup_channel_day(spark: SparkSession, sf: str) -> DataFrame:
-    return _in_cents(rollups.spend_by_channel_and_day(facts(spark, sf)), "cost_usd")
+    return _rounded(rollups.spend_by_channel_and_day(facts(spark, sf)), "cost_usd")
 
 
 @query
 def rollup_country_top(spark: SparkSession, sf: str) -> DataFrame:
-    return _in_cents(rollups.top_countries(facts(spark, sf), 10), "cost_usd")
+    return _rounded(rollups.top_countries(facts(spark, sf), 10), "cost_usd")
 
 
 @query
 def cpm_by_channel(spark: SparkSession, sf: str) -> DataFrame:
-    return _in_cents(rollups.cpm_by_channel(facts(spark, sf)), "cost_usd", "cpm")
+    return _rounded(rollups.cpm_by_channel(facts(spark, sf)), "cost_usd", "cpm")
