@@ -17,9 +17,13 @@ def stripped(text: Column) -> Column:
 
 
 def file_day(file_name: Column) -> Column:
-    """The ``yyyyMMdd`` text a raw file name ends in, or null when there is none."""
-    day = F.regexp_extract(file_name, DATED_FILE, 1)
-    return F.when(day != "", day)
+    """The eight digits a raw file name ends in, or empty text when there are none."""
+    return F.regexp_extract(file_name, DATED_FILE, 1)
+
+
+def file_day_of_dated(file_name: Column) -> Column:
+    """The same for names already known to match ``DATED_FILE_GLOB``, without a pattern."""
+    return F.substring(file_name, -12, 8)
 
 
 def channel_of_prefix(prefix: Column) -> Column:

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dates import date_id, parse_day
-from ..functions.text import DATED_FILE_GLOB, file_day
+from ..functions.dates import date_id, digits_to_date, parse_day
+from ..functions.text import DATED_FILE_GLOB, file_day, file_day_of_dated
+from ..operators.shape import select_once
 from ..schemas import CLEAN_PARTITIONS, CLEAN_SCHEMA
 
 
@@ -24,12 +25,16 @@ def read_raw_lines(spark: SparkSession, path: str, *, dated_only: bool = True) -
         .select(F.col("value").alias("line"), F.col("_metadata.file_name").alias("file_name"))
     )
     if dated_only:
-        lines = lines.where(has_file_day(F.col("file_name")))
+        day = file_day_of_dated(F.col("file_name"))
+        lines = lines.where(digits_to_date(day).isNotNull())
     return lines
 
 
-def has_file_day(file_name):
-    return parse_day(file_day(file_name)).isNotNull()
+def dated_files(files: DataFrame) -> DataFrame:
+    """Rows of a file list (``file_name``, any other columns) whose name ends in a real day,
+    with that ``file_day``."""
+    named = select_once(files, *files.columns, file_day(F.col("file_name")).alias("file_day"))
+    return named.where(parse_day(F.col("file_day")).isNotNull())
 
 
 def read_csv(

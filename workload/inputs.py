@@ -7,7 +7,7 @@ and what must become of them. ``oracle.py`` states the same rules in SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendmart.functions.dates import day_text
@@ -43,14 +43,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def first_match(branches: list[tuple[Column, Column]], otherwise: Column) -> Column:
-    (condition, value), *rest = branches
-    chosen = F.when(condition, value)
-    for condition, value in rest:
-        chosen = chosen.when(condition, value)
-    return chosen.otherwise(otherwise)
-
-
 # The same text in Spark SQL and in the oracle's SQL.
 FLAW_SQL = (
     "CASE "
@@ -76,78 +68,58 @@ def orders(spark: SparkSession, sf_dir: str, channel: str | None = None) -> Data
     )
 
 
-def _by_flaw(usual: Column, **special: Column) -> Column:
-    return first_match([(F.col("flaw") == name, v) for name, v in special.items()], usual)
-
-
-def _member(key: str, value: Column, quoted: bool) -> Column:
-    mark = '"' if quoted else ""
-    return F.concat(F.lit(f',"{key}":{mark}'), value.cast("string"), F.lit(mark))
+# Members of a raw line as SQL text, by flaw. Facebook has text values only; Google has numbers,
+# and country codes that are numbers in some lines and text in others.
+FACEBOOK_LINE = """concat(
+  '{"Currency":"', currency, '"',
+  CASE flaw WHEN 'no_country' THEN ''
+            WHEN 'null_country' THEN ',"Country":null'
+            ELSE concat(',"Country":"NATION_', country, '"') END,
+  CASE flaw WHEN 'impossible_day' THEN ',"Day":"20240631"'
+            WHEN 'repeated_day' THEN concat(',"Day":"19000101","Day":"', day, '"')
+            ELSE concat(',"Day":"', day, '"') END,
+  CASE flaw WHEN 'null_impressions' THEN ',"Impressions":null'
+            WHEN 'fraction' THEN concat(',"Impressions":"', impressions, '.7"')
+            WHEN 'odd_number' THEN concat(',"Impressions":" ', impressions, ' "')
+            ELSE concat(',"Impressions":"', impressions, '"') END,
+  CASE flaw WHEN 'comma_cost' THEN ',"Amount spent":"1,234"'
+            WHEN 'no_cost' THEN ''
+            WHEN 'suffix_cost' THEN ',"Amount spent":"12d"'
+            WHEN 'long_cost' THEN concat(',"Amount spent":"', key % 1000, '.12345678"')
+            WHEN 'not_finite' THEN ',"Amount spent":"inf"'
+            ELSE concat(',"Amount spent":"', cost, '"') END,
+  '}')"""
+GOOGLE_LINE = """concat(
+  '{"Currency code":"', currency, '"',
+  CASE WHEN flaw = 'no_country' THEN ''
+       WHEN flaw = 'null_country' THEN ',"country_code":null'
+       WHEN key % 4 = 1 THEN concat(',"country_code":', country + 2000)
+       ELSE concat(',"country_code":"', country + 2000, '"') END,
+  CASE flaw WHEN 'impossible_day' THEN ',"Day":"20240631"'
+            WHEN 'repeated_day' THEN concat(',"Day":"19000101","Day":"', day, '"')
+            ELSE concat(',"Day":"', day, '"') END,
+  CASE flaw WHEN 'null_impressions' THEN ',"Impr.":null'
+            WHEN 'fraction' THEN concat(',"Impr.":', impressions, '.7')
+            WHEN 'odd_number' THEN concat(',"Impr.":', impressions, 'e1')
+            ELSE concat(',"Impr.":', impressions) END,
+  CASE flaw WHEN 'comma_cost' THEN ',"Cost":"1,234"'
+            WHEN 'no_cost' THEN ''
+            WHEN 'suffix_cost' THEN ',"Cost":"12d"'
+            WHEN 'long_cost' THEN concat(',"Cost":', key % 1000, '.12345678')
+            WHEN 'not_finite' THEN ',"Cost":NaN'
+            ELSE concat(',"Cost":', cost) END,
+  '}')"""
+ENDED_LINE = """CASE flaw WHEN 'truncated' THEN substring(line, 1, length(line) - 5)
+          WHEN 'trailing_text' THEN concat(line, ' tail}')
+          ELSE line END"""
 
 
 def raw_lines(spark: SparkSession, sf_dir: str, channel: str) -> DataFrame:
-    """``line``: one JSON text per order of the channel, flaws included.
-
-    The Facebook form has text values only; the Google form has numbers, and country codes
-    that are numbers in some lines and text in others.
-    """
-    nothing = F.lit("")
-    facebook = channel == "facebook"
-    price_key = "Amount spent" if facebook else "Cost"
-    shown_key = "Impressions" if facebook else "Impr."
-    country_key = "Country" if facebook else "country_code"
-    shown = F.col("impressions").cast("string")
-    if facebook:
-        country = _member(country_key, F.concat(F.lit("NATION_"), F.col("country").cast("string")), True)
-        odd_number = _member(shown_key, F.concat(F.lit(" "), shown, F.lit(" ")), True)
-        not_finite = _member(price_key, F.lit("inf"), True)
-    else:
-        code = F.col("country") + 2000
-        country = F.when(F.col("key") % 4 == 1, _member(country_key, code, False)).otherwise(
-            _member(country_key, code, True)
-        )
-        odd_number = _member(shown_key, F.concat(shown, F.lit("e1")), False)
-        not_finite = _member(price_key, F.lit("NaN"), False)
-    long_cost = F.concat((F.col("key") % 1000).cast("string"), F.lit(".12345678"))
-    line = F.concat(
-        F.lit('{"Currency":"' if facebook else '{"Currency code":"'),
-        F.col("currency"),
-        F.lit('"'),
-        _by_flaw(
-            country, no_country=nothing, null_country=F.lit(f',"{country_key}":null')
-        ),
-        _by_flaw(
-            _member("Day", F.col("day"), True),
-            impossible_day=_member("Day", F.lit("20240631"), True),
-            repeated_day=F.concat(
-                _member("Day", F.lit("19000101"), True), _member("Day", F.col("day"), True)
-            ),
-        ),
-        _by_flaw(
-            _member(shown_key, shown, facebook),
-            null_impressions=F.lit(f',"{shown_key}":null'),
-            fraction=_member(shown_key, F.concat(shown, F.lit(".7")), facebook),
-            odd_number=odd_number,
-        ),
-        _by_flaw(
-            _member(price_key, F.col("cost"), facebook),
-            comma_cost=_member(price_key, F.lit("1,234"), True),
-            no_cost=nothing,
-            suffix_cost=_member(price_key, F.lit("12d"), True),
-            long_cost=_member(price_key, long_cost, facebook),
-            not_finite=not_finite,
-        ),
-        F.lit("}"),
-    )
-    whole = F.col("line")
-    ended = _by_flaw(
-        whole,
-        truncated=F.substring(whole, F.lit(1), F.length(whole) - 5),
-        trailing_text=F.concat(whole, F.lit(" tail}")),
-    )
+    """``line``: one JSON text per order of the channel, flaws included."""
+    line = F.expr(FACEBOOK_LINE if channel == "facebook" else GOOGLE_LINE)
     # Built once per order, as a file's lines would be.
     lines = select_once(orders(spark, sf_dir, channel), "flaw", line.alias("line"))
-    return lines.select(ended.alias("line"))
+    return lines.select(F.expr(ENDED_LINE).alias("line"))
 
 
 def code_map(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,9 +94,7 @@ def file_date_filter(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.concat(F.lit("raw_data_fb_"), F.col("day"), F.lit(".txt")))
     )
     files = inputs.orders(spark, sf).select("key", name.alias("file_name"))
-    return files.where(sources.has_file_day(F.col("file_name"))).select(
-        "key", "file_name", text.file_day(F.col("file_name")).alias("file_day")
-    )
+    return sources.dated_files(files)
 
 
 @query
