@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,14 +22,17 @@ def number_in_order(rows: DataFrame, order: str, name: str, first: int = 1) -> D
     ordered = rows.orderBy(order).withColumn("_at", F.monotonically_increasing_id())
     fixed = checkpointed(ordered)
     block = F.shiftright("_at", PARTITION_BIT)
-    return _add_numbers(fixed, [block.alias("_block")], name, first)
+    # One row per partition: small whatever the data, so it can always be broadcast.
+    return _add_numbers(fixed, [block.alias("_block")], name, first, F.broadcast)
 
 
 def number_file_rows(rows: DataFrame, name: str, first: int = 1) -> DataFrame:
     """Number the rows of a file scan in file order (files by name, then by offset).
 
     ``rows`` must come straight from ``spark.read``: positions are taken from the scan's own
-    ``_metadata``, block by block.
+    ``_metadata``, block by block. There is one offset per block of the files, and Spark picks
+    the join that adds them: a broadcast for few blocks, else a shuffle in which every group is
+    at most one block.
     """
     placed = rows.select(
         "*",
@@ -38,7 +43,13 @@ def number_file_rows(rows: DataFrame, name: str, first: int = 1) -> DataFrame:
     return _add_numbers(placed, ["_file", "_start"], name, first)
 
 
-def _add_numbers(rows: DataFrame, block: list[Column | str], name: str, first: int) -> DataFrame:
+def _add_numbers(
+    rows: DataFrame,
+    block: list[Column | str],
+    name: str,
+    first: int,
+    mark: Callable[[DataFrame], DataFrame] = lambda offsets: offsets,
+) -> DataFrame:
     names = [f"_block{i}" for i in range(len(block))]
     keyed = rows.select(
         "*", *[F.col(b).alias(n) if isinstance(b, str) else b.alias(n) for b, n in zip(block, names)]
@@ -55,8 +66,7 @@ def _add_numbers(rows: DataFrame, block: list[Column | str], name: str, first: i
         same = same & (F.col(n) == F.col(f"{n}_"))
     number = (F.col("_offset") + F.col("_at") - F.col("_min") + first).alias(name)
     kept = [c for c in rows.columns if c not in ("_file", "_start", "_at")]
-    # No broadcast hint: offsets are one row per block, and Spark sizes the join itself.
-    return keyed.join(offsets, same).select(*kept, number)
+    return keyed.join(mark(offsets), same).select(*kept, number)
 
 
 def row_range(numbered: DataFrame, number: str, first: int, last: int) -> DataFrame:

@@ -61,15 +61,21 @@ def read_clean(
 ) -> DataFrame:
     """``currency, country, date_id, impressions, cost`` of one channel's clean table.
 
-    ``year`` and ``month`` prune partitions. ``day_partition="day"`` reads tables laid out as
+    With ``year`` (and ``month``) only the folders of that period are listed and read; a period
+    that was never written is an error. ``day_partition="day"`` reads tables laid out as
     ``year=/month=/day=``. The schema is given, so no footer is merged or inferred.
     """
+    if month is not None and year is None:
+        raise ValueError("a month needs its year")
     partitions = [*CLEAN_PARTITIONS[:2], day_partition]
     stored = ["currency", "country", "impressions", "cost"]
     schema = T.StructType([CLEAN_SCHEMA[name] for name in stored])
     for name in partitions:
         schema = schema.add(name, T.IntegerType())
-    rows = spark.read.schema(schema).parquet(path)
+    folder = path
+    if year is not None:
+        folder += f"/year={year}" + (f"/month={month}" if month is not None else "")
+    rows = spark.read.schema(schema).option("basePath", path).parquet(folder)
     if year is not None:
         rows = rows.where(F.col("year") == year)
     if month is not None:

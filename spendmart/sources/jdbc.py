@@ -71,9 +71,15 @@ def write_options(
     return options
 
 
-def read_table(spark: SparkSession, db: Database, table: str, columns: dict[str, str]) -> DataFrame:
-    """The named columns of a table. The projection is pushed into the SQL that Spark sends."""
-    return project(spark.read.format("jdbc").options(**read_options(db, table)).load(), columns)
+def read_table(
+    spark: SparkSession, db: Database, table: str, columns: dict[str, str], **ranges
+) -> DataFrame:
+    """The named columns of a table. The projection is pushed into the SQL that Spark sends.
+
+    ``ranges`` are the partitioning arguments of ``read_options``.
+    """
+    options = read_options(db, table, **ranges)
+    return project(spark.read.format("jdbc").options(**options).load(), columns)
 
 
 def append_table(df: DataFrame, db: Database, table: str, connections: int | None = None) -> None:

@@ -68,6 +68,11 @@ def test_clean_table_roundtrip_and_rerun(spark, lines, tmp_path):
     assert month.count() == 4
     text = plan(month)
     assert "PartitionFilters: [isnotnull(year" in text and "month" in text.split("PartitionFilters")[1]
+    assert "year=2024/month=6" in text.split("Location")[1].split("\n")[0]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_clean(spark, path, year=2023)
+    with pytest.raises(ValueError, match="needs its year"):
+        read_clean(spark, path, month=6)
     assert "ReadSchema: struct<currency:string,country:string,impressions:bigint,cost:double>" in text
 
 

@@ -39,6 +39,37 @@ def test_fact_plan_has_no_shuffle_and_no_python(spark):
     assert not re.search(r"SortMergeJoin|Exchange hashpartitioning|Python|ArrowEval", text)
 
 
+@pytest.mark.parametrize(
+    ("name", "join"),
+    [
+        ("unmapped_codes", "LeftAnti"),
+        ("geo_lookup_default", "LeftOuter"),
+        ("normalize_google", "LeftOuter"),
+        ("join_fx", "LeftOuter"),
+        ("row_range_slice", "Inner"),
+    ],
+)
+def test_measured_tables_are_broadcast(spark, name, join):
+    # Without this threshold Spark broadcasts only what is marked.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(contract.queries()[name](spark, SF), "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in text and join in text and "SortMergeJoin" not in text
+
+
+def test_aggregations_combine_before_the_shuffle(spark):
+    for name in ("ingest_reject_counts", "partition_row_counts", "distinct_codes", "dedup_last_wins"):
+        text = plan(contract.queries()[name](spark, SF), "simple")
+        below = text.split("Exchange hashpartitioning")[1]
+        assert "partial_" in below or "HashAggregate(keys" in below, name
+
+
+def test_top_rows_are_not_sorted_whole(spark):
+    assert "TakeOrderedAndProject" in plan(contract.queries()["preview_limit"](spark, SF), "simple")
+
+
 def test_each_line_is_parsed_once(spark, tmp_path):
     spec = CHANNELS["facebook"]
     inputs.raw_lines(spark, SF, "facebook").write.text(str(tmp_path / "raw"))
