@@ -1,4 +1,4 @@
-"""Sends this library to the executors, so that they need no installed copy."""
+"""Prepares a session for these operators: code for the executors, batches fit for whole texts."""
 
 from __future__ import annotations
 
@@ -9,14 +9,20 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _SENT: set[str] = set()
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Spark's own setting, meant for short rows, and the one for whole texts in small workers.
+DEFAULT_ROWS, TEXT_ROWS = "10000", "1000"
 
 
 def ship(spark: SparkSession) -> None:
-    """Once per application, add the package to what Spark hands to Python workers.
+    """Once per application, add the package to what Spark hands to Python workers; and unless the
+    session has a batch size of its own, take one that suits texts.
 
     The archive lies in the driver's own temporary folder and reaches executors over Spark's file
     service, as with ``--py-files``.
     """
+    if spark.conf.get(BATCH_ROWS, DEFAULT_ROWS) == DEFAULT_ROWS:
+        spark.conf.set(BATCH_ROWS, TEXT_ROWS)
     app = spark.sparkContext.applicationId
     if app in _SENT:
         return

@@ -23,7 +23,7 @@ from tokenizers import Tokenizer
 from spendmart.llm.common import compactly_staged
 
 #: Words remembered before the memory is emptied.
-MEMORY = 1_000_000
+MEMORY = 500_000
 _WHOLE = re.compile(r" \s|\s $")
 
 
