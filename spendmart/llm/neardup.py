@@ -145,15 +145,14 @@ def _bayes(pairs: DataFrame, sigs: DataFrame, threshold: float, miss: float) ->
             keep = survivors(_sig_table(batch.column(2)), _sig_table(batch.column(3)), threshold, miss)
             yield batch.select([0, 1]).take(pa.array(keep))
 
-    joined = pairs.join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a").join(
-        sigs.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b"
-    )
+    first = sigs.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")).hint("merge")
+    second = sigs.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")).hint("merge")
+    joined = pairs.join(first, "a").join(second, "b")
     return joined.select("a", "b", "sig_a", "sig_b").mapInArrow(compare, "a bigint, b bigint")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: float, k: int) -> DataFrame:
-    """``pairs`` whose full shingle sets have at least the threshold in common."""
-    percent = round(threshold * 100)
+def _shingles(texts: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """id and full shingle set (sorted 64-bit names) of the texts with one of ``ids``."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,6 +162,14 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: float, k: int) ->
                     [batch.column(0).slice(first, len(part)), pa.array(found, pa.binary())], names=["id", "shingles"]
                 )
 
+    needed = texts.join(ids.hint("merge"), "id", "left_semi").select("id", "text")
+    return needed.mapInArrow(sets, "id bigint, shingles binary")
+
+
+def _confirmed(pairs: DataFrame, shingles: DataFrame, threshold: float) -> DataFrame:
+    """``pairs`` whose full shingle sets have at least the threshold in common."""
+    percent = round(threshold * 100)
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -176,49 +183,99 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: float, k: int) ->
                     keep.append(i)
             yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
-    needed = pairs.select("a").unionAll(pairs.select("b")).distinct().withColumnRenamed("a", "id")
-    shingles = staged(
-        texts.join(needed, "id").select("id", "text").mapInArrow(sets, "id bigint, shingles binary"), "shingles"
-    )
-    first = pairs.join(shingles.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
-    both = first.join(shingles.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
+    first = shingles.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")).hint("merge")
+    second = shingles.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")).hint("merge")
+    both = pairs.join(first, "a").join(second, "b")
     return both.select("a", "b", "set_a", "set_b").mapInArrow(check, "a bigint, b bigint")
 
 
-def _across(members: DataFrame, sigs: DataFrame, threshold: float, miss: float) -> DataFrame:
-    """Surviving pairs of different components in the same bucket, block against block.
+def _short(shingles: DataFrame) -> DataFrame:
+    """Shingle sets cut to 32 bits a name: what blocks compare before full sets confirm."""
 
-    ``members``: bucket, id, comp. A bucket of many members is dealt over blocks of about
-    ``BLOCK``, and each pair of blocks is a group of its own.
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(np.frombuffer(x.as_buffer(), np.uint64).astype(np.uint32)).tobytes() for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "short"])
+
+    return shingles.mapInArrow(cut, "id bigint, short binary")
+
+
+def _pairs_of(sig: np.ndarray, left: np.ndarray, right: np.ndarray, comp: np.ndarray, threshold: float, miss: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of different components that survive; the first batches as whole tables."""
+    least = least_matches(threshold, miss)
+    matches = np.zeros((len(left), len(right)), np.uint8)
+    for step in range(2):
+        for j in range(step * BATCH, (step + 1) * BATCH):
+            matches += sig[left, j][:, None] == sig[right, j][None, :]
+        alive = matches >= least[step]
+        if not alive.any():
+            return left[:0], right[:0]
+    alive &= comp[left][:, None] != comp[right][None, :]
+    if left is right:
+        alive &= np.tri(len(left), k=-1, dtype=bool).T
+    x, y = np.nonzero(alive)
+    x, y = left[x], right[y]
+    keep = []
+    for at in range(0, len(x), 1 << 14):
+        part = slice(at, at + (1 << 14))
+        keep.append(at + survivors(sig[x[part]], sig[y[part]], threshold, miss))
+    keep = np.concatenate(keep) if keep else np.zeros(0, int)
+    return x[keep], y[keep]
+
+
+def _across(members: DataFrame, sigs: DataFrame, shingles: DataFrame, threshold: float, miss: float) -> DataFrame:
+    """Likely pairs of different components in the same bucket, block against block.
+
+    ``members``: bucket, band, id, comp. A bucket of many members is dealt over blocks of about
+    ``BLOCK``, and each pair of blocks is a group of its own; smaller buckets are grouped some
+    thousands of rows together. A pair is looked at in the first band that it shares, and its
+    sets, cut to 32 bits a name, must come within a hundredth of the threshold.
     """
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n"))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    n_chunks = members.count() // 4096 + 1
+    small = F.pmod(F.xxhash64("bucket", F.lit(3)), F.lit(n_chunks))
     dealt = (
-        members.join(sizes, "bucket")
-        .withColumn("of", blocks)
+        members.join(sizes.hint("merge"), "bucket")
+        .withColumn("of", F.ceil(F.col("n") / BLOCK).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("id", F.lit(11)), F.col("of").cast("bigint")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
         .select(
-            "bucket", "id", "comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block"
+            F.when(F.col("of") > 1, F.col("bucket")).otherwise(small).alias("chunk"), (F.col("of") > 1).alias("large"),
+            "bucket", "band", "id", "comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
         )
-        .join(sigs.select("id", "sig"), "id")
-    )
+        .join(sigs.select("id", "sig").hint("merge"), "id")
+        .join(_short(shingles).hint("merge"), "id")
+    )
+    percent = round(threshold * 100) - 1
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("bucket", kind="stable")
         i, j = int(group["i"].iloc[0]), int(group["j"].iloc[0])
-        own = group["block"].to_numpy()
-        left = np.flatnonzero(own == i)
-        right = left if i == j else np.flatnonzero(own == j)
+        own, buckets, band = group["block"].to_numpy(), group["bucket"].to_numpy(), group["band"].to_numpy()
         sig, comp, ids = _sig_table(group["sig"]), group["comp"].to_numpy(), group["id"].to_numpy()
-        found: list[tuple[int, int]] = []
-        for x in left:
-            y = right[(comp[right] != comp[x]) & ((right > x) if i == j else True)]
-            if len(y):
-                keep = survivors(np.broadcast_to(sig[x], (len(y), HASHES)), sig[y], threshold, miss)
-                found += [(min(ids[x], ids[z]), max(ids[x], ids[z])) for z in y[keep]]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        sets = [np.frombuffer(x, np.uint32) for x in group["short"]]
+        edges = np.flatnonzero(np.diff(buckets, prepend=buckets[0] - 1 if len(buckets) else 0))
+        found: set[tuple[int, int]] = set()
+        for a, b in zip(edges, [*edges[1:], len(buckets)]):
+            rows = np.arange(a, b)
+            left = rows[own[rows] == i]
+            right = left if i == j else rows[own[rows] == j]
+            xs, ys = _pairs_of(sig, left, right, comp, threshold, miss)
+            if len(xs):
+                same = (sig[xs] == sig[ys]).reshape(len(xs), -1, BAND).all(2)
+                first = same.argmax(1) >= band[a]
+                xs, ys = xs[first], ys[first]
+            for x, y in zip(xs, ys):
+                s, t = sets[x], sets[y]
+                least, most = sorted((len(s), len(t)))
+                if 100 * least < percent * most:
+                    continue
+                both = len(np.intersect1d(s, t, assume_unique=True))
+                if 100 * both >= percent * (len(s) + len(t) - both):
+                    found.add((min(ids[x], ids[y]), max(ids[x], ids[y])))
+        return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
 
-    return dealt.groupBy("bucket", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct()
+    return dealt.groupBy("large", "chunk", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(
@@ -240,24 +297,24 @@ def near_duplicates(
     # an id that repeats may stand for several sets: each keeps its own signature
     rep_rows = full.join(reps, ["set_name", "id"], "left_semi")
     sigs = staged(rep_rows.select("id", "sig").distinct(), "signatures")
-    banded = rep_rows.select("id", F.explode("bands").alias("bucket")).distinct()
+    banded = rep_rows.select("id", F.posexplode("bands").alias("band", "bucket")).distinct()
     hubs = banded.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
-    buckets = staged(banded.join(hubs, "bucket"), "buckets")
+    buckets = staged(banded.join(hubs.hint("merge"), "bucket"), "buckets")
 
     texts = source.where(F.col("id").isNotNull()).select("id", F.col("text").cast("binary").alias("text"))
+    shingles = staged(_shingles(texts, buckets.select("id").distinct(), shingle), "shingles")
     stars = buckets.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     pairs = staged(_bayes(stars, sigs, threshold, miss).distinct(), "star-pairs")
-    links = staged(_confirmed(pairs, texts, threshold, shingle).distinct(), "star-links")
+    links = staged(_confirmed(pairs, shingles, threshold).distinct(), "star-links")
     comp = staged(components(links, "a", "b"), "components")
 
-    at = buckets.join(comp.withColumnRenamed("node", "id"), "id", "left").select(
-        "bucket", "id", F.coalesce("component", "id").alias("comp")
+    at = buckets.join(comp.withColumnRenamed("node", "id").hint("merge"), "id", "left").select(
+        "bucket", "band", "id", F.coalesce("component", "id").alias("comp")
     )
     open_buckets = at.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    members = staged(at.join(open_buckets.select("bucket"), "bucket", "left_semi"), "open-buckets")
-    rest = staged(_across(members, sigs, threshold, miss), "cross-pairs")
-    rest = rest.join(pairs, ["a", "b"], "left_anti")
-    more = _confirmed(staged(rest, "cross-pairs-new"), texts, threshold, shingle)
+    members = staged(at.join(open_buckets.select("bucket").hint("merge"), "bucket", "left_semi"), "open-buckets")
+    rest = staged(_across(members, sigs, shingles, threshold, miss), "cross-pairs")
+    more = _confirmed(rest.join(pairs, ["a", "b"], "left_anti"), shingles, threshold)
 
     # ids of one class, and the representatives that links join
     copies = full.join(reps.withColumnRenamed("id", "rep"), "set_name").select(F.col("id").alias("a"), F.col("rep").alias("b"))

@@ -30,8 +30,6 @@ SYMBOLS = b"#*$%&|<>"
 MARKS = b"!?;:,.\"'()[]{}-_=/\\@~^+"
 UPPER = bytes(range(65, 91))
 DIGITS = bytes(range(48, 58))
-_STATS = pa.struct([(name, pa.int64()) for name in COUNTS + EXTRA])
-_STATS_SQL = "struct<" + ",".join(f"{name}:bigint" for name in COUNTS + EXTRA) + ">"
 MIN_WORDS = 50
 
 
@@ -58,41 +56,42 @@ def rule_counts(text: bytes | None) -> tuple[int, ...]:
     )
 
 
-def _counts(texts: pa.Array) -> pa.Array:
+def _counts(texts: pa.Array) -> np.ndarray:
     rows = [rule_counts(t.as_py()) for t in texts]
-    columns = np.array(rows, np.int64).reshape(len(rows), len(COUNTS + EXTRA)).T
-    return pa.StructArray.from_arrays([pa.array(c) for c in columns], fields=list(_STATS))
+    return np.array(rows, np.int64).reshape(len(rows), len(COUNTS + EXTRA))
 
 
 def statistics(text: Column) -> Column:
-    """A struct of ``COUNTS + EXTRA`` for each text."""
-    return F.arrow_udf(_counts, _STATS_SQL)(text.cast("binary"))
+    """The array of ``COUNTS + EXTRA`` of each text."""
 
+    def count(texts: pa.Array) -> pa.Array:
+        rows = _counts(texts)
+        return pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1], pa.array(rows.ravel()))
 
-def base_failed(stats: Column) -> Column:
-    words = stats["n_words"]
-    return (words < MIN_WORDS) | (100 * stats["n_repeat_words"] > 50 * words)
+    return F.arrow_udf(count, "array<bigint>")(text.cast("binary"))
 
 
-def _per(stats: Column, name: str, of: str) -> Column:
-    return F.coalesce(stats[name] / F.nullif(stats[of], F.lit(0)), F.lit(0.0))
+def base_failed(counts: np.ndarray) -> np.ndarray:
+    words, repeated = counts[:, 0], counts[:, 4]
+    return (words < MIN_WORDS) | (100 * repeated > 50 * words)
 
 
-def rates(stats: Column) -> dict[str, list[Column]]:
-    """What each group's forest splits on."""
-    length = _per(stats, "word_chars", "n_words")
-    symbols = _per(stats, "n_symbols", "n_words")
-    upper = _per(stats, "n_upper", "n_words")
-    repeats = [_per(stats, "n_dup_lines", "n_lines"), _per(stats, "n_repeat_words", "n_words")]
-    marks = [_per(stats, "n_marks", "n_words"), _per(stats, "n_digits", "n_words")]
-    distinct = _per(stats, "n_distinct", "n_words")
-    return {
+def rates(counts: np.ndarray) -> dict[str, np.ndarray]:
+    """What each group's forest splits on; rows are texts."""
+    c = dict(zip(COUNTS + EXTRA, counts.T.astype(float)))
+    words, lines = np.maximum(c["n_words"], 1), np.maximum(c["n_lines"], 1)
+    length, symbols, upper = c["word_chars"] / words, c["n_symbols"] / words, c["n_upper"] / words
+    repeats = [c["n_dup_lines"] / lines, c["n_repeat_words"] / words]
+    marks = [c["n_marks"] / words, c["n_digits"] / words]
+    distinct = c["n_distinct"] / words
+    groups = {
         "symbols": [symbols],
         "shape": [length, upper],
         "marks": marks,
         "repeats": [*repeats, distinct],
-        "joint": [F.log1p(stats["n_words"].cast("double")), length, symbols, upper, distinct, *repeats, *marks],
+        "joint": [np.log1p(c["n_words"]), length, symbols, upper, distinct, *repeats, *marks],
     }
+    return {g: np.stack(columns, 1) for g, columns in groups.items()}
 
 
 @dataclass(frozen=True)
@@ -159,21 +158,30 @@ def grow(x: np.ndarray, trees: int, leaf_rows: int, seed: int) -> Forest:
     return Forest(full[:, :, 0].astype(int), full[:, :, 1], full[:, :, 2].astype(np.int32), full[:, :, 3], float(mean_path(take)) or 1.0)
 
 
-def score_column(forest: Forest, features: Column) -> Column:
-    def score(rows: pa.Array) -> pa.Array:
-        flat = rows.flatten().to_numpy(zero_copy_only=False)
-        return pa.array(forest.scores(flat.reshape(len(rows), -1)))
+def fit(labelled: DataFrame, counts: str, *, trees: int = 64, leaf_rows: int = 256, max_rows: int = 8192, seed: int = 7) -> dict[str, Forest]:
+    """A forest for each group of rates, on at most ``max_rows`` rows, the first in a hashed order."""
+    key = F.xxhash64(F.lit(seed), counts)
+    n = labelled.count()
+    # the first rows in that order lie below twice their share of all hashes; few others travel
+    bound = F.lit(min(1.0, 2 * max_rows / max(n, 1)) * 2.0**64 - 2.0**63)
+    near = labelled if n <= max_rows else labelled.where(key.cast("double") <= bound)
+    sample = near.select(counts).orderBy(key, counts).limit(max_rows).collect()
+    if len(sample) < 2:
+        return {}
+    found = rates(np.array([row[0] for row in sample], np.int64))
+    return {g: grow(x, trees, leaf_rows, seed) for g, x in found.items()}
 
-    return F.arrow_udf(score, "double")(features)
 
+def scores_of(forests: dict[str, Forest], counts: Column) -> Column:
+    """The array of each group's score for an array of counts."""
 
-def fit(labelled: DataFrame, groups: list[str], *, trees: int = 64, leaf_rows: int = 256, max_rows: int = 8192, seed: int = 7) -> dict[str, Forest]:
-    """One forest for each array column, on at most ``max_rows`` rows, the first in a hashed order."""
-    order = F.xxhash64(F.lit(seed), *groups)
-    sample = labelled.select(*groups).orderBy(order, *groups).limit(max_rows).collect()
-    if len(sample) < 2:
-        return {}
-    return {g: grow(np.array([row[g] for row in sample], float), trees, leaf_rows, seed) for g in groups}
+    def score(rows: pa.Array) -> pa.Array:
+        flat = rows.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), len(COUNTS + EXTRA))
+        x = rates(flat)
+        made = np.stack([forest.scores(x[g]) for g, forest in forests.items()], 1)
+        return pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * made.shape[1], pa.array(made.ravel()))
+
+    return F.arrow_udf(score, "array<double>")(counts)
 
 
 def calibrate(scored: DataFrame, scores: list[str], quality: str, *, good_worth: float = 50.0, bins: int = 4000) -> dict[str, float]:
@@ -214,38 +222,29 @@ def judged(
         .groupBy(F.col(id_col).alias("_id"))
         .agg(F.min(quality_col).alias("_quality"))
     )
-    labelled = (
-        docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-        .join(marks, "_id")
-        .select("_quality", statistics(F.col("_text")).alias("_s"))
-        .where(~base_failed(F.col("_s")))
-    )
-    labelled = staged(labelled, "quality-labelled")
-    grouped = {g: F.array(*columns) for g, columns in rates(F.col("_s")).items()}
-    groups = list(grouped)
-    labelled = labelled.select("_quality", *(column.alias(g) for g, column in grouped.items()))
-    forests = fit(labelled, groups, **forest)
+    counted = docs.select(F.col(id_col).alias("_id"), statistics(F.col(text_col)).alias("_counts"))
+    fair = ~((F.col("_counts")[0] < MIN_WORDS) | (100 * F.col("_counts")[4] > 50 * F.col("_counts")[0]))
+    # the same plan at every size: counts travel, texts don't
+    labelled = staged(counted.join(marks.hint("merge"), "_id").where(fair).select("_quality", "_counts"), "quality-labelled")
+    forests = fit(labelled, "_counts", **forest)
     cuts: dict[str, float] = {}
     if forests:
-        scored = labelled.select("_quality", *(score_column(forests[g], F.col(g)).alias(g) for g in groups))
-        cuts = calibrate(scored, groups, "_quality")
-
-    stats, out = free_name(docs, "_stats"), free_name(docs, name)
-    failed = base_failed(F.col(stats))
-    scores = {g: score_column(forests[g], F.array(*rates(F.col(stats))[g])) for g in groups if cuts.get(g, 2.0) <= 1.0}
-    passed = ~failed
-    for g, score in scores.items():
-        passed = passed & (score < cuts[g])
-    return (
-        docs.withColumn(stats, statistics(F.col(text_col)))
-        .withColumn(
-            out,
-            F.struct(
-                *(F.col(stats)[c].alias(c) for c in COUNTS),
-                failed.alias("base_failed"),
-                *(score.alias(f"score_{g}") for g, score in scores.items()),
-                passed.alias("kept"),
-            ),
-        )
-        .drop(stats)
-    )
+        groups = list(forests)
+        scored = labelled.select("_quality", scores_of(forests, F.col("_counts")).alias("_s"))
+        cuts = calibrate(scored.select("_quality", *(F.col("_s")[i].alias(g) for i, g in enumerate(groups))), groups, "_quality")
+    used = {g: forest for g, forest in forests.items() if cuts[g] <= 1.0}
+
+    def judge(texts: pa.Array) -> pa.Array:
+        counts = _counts(texts)
+        failed, x = base_failed(counts), rates(counts)
+        scores = {g: forest.scores(x[g]) for g, forest in used.items()}
+        kept = ~failed
+        for g, values in scores.items():
+            kept &= values < cuts[g]
+        columns = [*counts.T[: len(COUNTS)], failed, *scores.values(), kept]
+        return pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=names)
+
+    names = [*COUNTS, "base_failed", *(f"score_{g}" for g in used), "kept"]
+    types = ["bigint"] * len(COUNTS) + ["boolean"] + ["double"] * len(used) + ["boolean"]
+    schema = "struct<" + ",".join(f"{n}:{t}" for n, t in zip(names, types)) + ">"
+    return docs.withColumn(free_name(docs, name), F.arrow_udf(judge, schema)(F.col(text_col).cast("binary")))
