@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendmart.llm import mixing, neardup, packing, pseudonyms, quality
+from spendmart.llm import idfiles, mixing, neardup, neighbours, packing, pages, pseudonyms, quality, repeats, secret_scan
 from spendmart.llm.common import table
 from spendmart.llm.shipping import ship
 
@@ -33,6 +33,12 @@ def op1_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.with_pseudonyms(docs, SAMPLE_KEY, counts="found").select("doc_id", "text", "found.*")
 
 
+@query
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", secret_scan.secrets_column(F.col("text")).alias("found"))
+    return docs.select("doc_id", "found.*")
+
+
 @query
 def op3_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -41,17 +47,137 @@ def op3_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+ORACLE["op4_repeats"] = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 18)) AS i, w FROM words WHERE len(w) >= 20
+), named AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS name FROM windows
+), ranked AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY name ORDER BY doc_id, i) AS r FROM named
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS k FROM ranked WHERE r > 1
+), gone_lists AS (
+  SELECT doc_id, list(k) AS ks FROM gone GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(len(ks), 0) AS n_removed,
+         CASE WHEN ks IS NULL THEN w
+              ELSE list_transform(list_filter(range(1, len(w) + 1), lambda k: NOT list_contains(ks, k)), lambda k: w[k]) END AS left_words
+  FROM words LEFT JOIN gone_lists USING (doc_id)
+)
+SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed,
+       sha256(array_to_string(left_words, ' ')) AS kept_sha256
+FROM kept
+"""
+
+
+@query
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = idfiles.new_file_set(spark)
+    idfiles.write_ids(table(spark, sf_dir, "documents"), path)
+    read = idfiles.read_ids(spark, path)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "source", "mix.epoch", "mix.block", "mix.n_tokens", "mix.target_tokens")
 
 
+ORACLE["op8_mixing"] = r"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+'))::BIGINT AS n_tokens,
+         md5(concat_ws(':', '17', doc_id::VARCHAR, coalesce(text, ''))) AS key
+  FROM documents
+), totals AS (
+  SELECT source, sum(n_tokens)::BIGINT AS tokens, count(*) AS n_rows FROM rows GROUP BY source
+), ends AS (
+  SELECT max(tokens)::DOUBLE AS most, min(tokens)::DOUBLE AS least FROM totals WHERE tokens > 0
+), bisection AS (
+  SELECT 0 AS step, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high
+  UNION ALL
+  SELECT step + 1,
+         CASE WHEN pow(most / least, 1 - (low + high) / 2) > 2.0 THEN (low + high) / 2 ELSE low END,
+         CASE WHEN pow(most / least, 1 - (low + high) / 2) > 2.0 THEN high ELSE (low + high) / 2 END
+  FROM bisection, ends WHERE step < 40
+), chosen AS (
+  SELECT round(high, 9) AS exponent FROM bisection WHERE step = 40
+), plan AS (
+  SELECT source, tokens, ceil(n_rows / 4096.0)::BIGINT AS blocks,
+         CASE WHEN tokens > 0 THEN floor(tokens * pow(tokens / most, exponent - 1))::BIGINT ELSE 0 END AS target_tokens
+  FROM totals, ends, chosen
+), weights AS (
+  SELECT *, CASE WHEN tokens > 0 THEN target_tokens // tokens ELSE 1 END AS epochs,
+         target_tokens - CASE WHEN tokens > 0 THEN target_tokens // tokens ELSE 1 END * tokens AS rest
+  FROM plan
+), dealt AS (
+  SELECT r.*, w.* EXCLUDE (source), ('0x' || substr(key, 1, 12))::BIGINT % blocks AS block
+  FROM rows r JOIN weights w ON r.source IS NOT DISTINCT FROM w.source
+), keyed AS (
+  SELECT *, md5('block17:' || block) AS block_key FROM dealt
+), summed AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY source ORDER BY block_key, block RANGE UNBOUNDED PRECEDING) AS block_end,
+         sum(n_tokens) OVER (PARTITION BY source ORDER BY block_key, block, key RANGE UNBOUNDED PRECEDING) AS row_end
+  FROM keyed
+), times AS (
+  SELECT *, epochs + CASE WHEN rest > 0 AND (block_end <= rest OR row_end <= rest) THEN 1 ELSE 0 END AS n FROM summed
+)
+SELECT doc_id, source, unnest(range(0, n::BIGINT)) AS epoch, block, n_tokens, target_tokens FROM times WHERE n > 0
+"""
+
+
+@query
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "pages").select("page_id", "url", pages.main_text_column(F.col("html")).alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 @query
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op10_near_duplicates"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^ \t-\r]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * shared.n >= 75 * (p.n + q.n - shared.n)
+), edges AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, e.y FROM reach r JOIN edges e ON r.b = e.x
+)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(b) AS component_id, d.doc_id = min(b) AS kept
+FROM documents d JOIN reach ON a = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id
+GROUP BY d.doc_id
+"""
