@@ -29,6 +29,8 @@ from spendmart.staging import new_path, staged
 
 LONGEST = 18
 BLOCK_IDS, CHECKPOINT = 1 << 16, 256
+#: Blocks decoded side by side.
+TOGETHER = 16
 
 
 def code_lengths(counts: dict[int, int], longest: int = LONGEST) -> dict[int, int]:
@@ -78,6 +80,7 @@ class Code:
         table = np.repeat(np.array(symbols, np.uint32), counts)
         self.table = np.zeros(1 << self.longest, np.uint32)
         self.table[: len(table)] = table
+        self.table_lengths = self.lengths[self.table] if lengths else self.table.astype(np.int64)
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The bits, and the bit offset of every ``CHECKPOINT``-th id."""
@@ -98,25 +101,30 @@ class Code:
         out[word[over] + 1] += codes[over] << (64 + shift[over]).astype(np.uint64)
         return out.astype(">u8").tobytes()[: (total + 7) // 8], begins[::CHECKPOINT].astype(np.uint32)
 
-    def decode(self, bits: bytes, offsets: np.ndarray, n: int) -> np.ndarray:
-        """``n`` ids; all stretches between checkpoints advance together."""
-        padded = np.frombuffer(bits + b"\0" * 8, np.uint8).astype(np.uint64)
-        at = offsets.astype(np.int64)
-        out = np.zeros((len(at), CHECKPOINT), np.uint32)
-        left = np.full(len(at), CHECKPOINT)
-        if len(at):
-            left[-1] = n - CHECKPOINT * (len(at) - 1)
-        shift, mask = np.uint64(32 - self.longest), np.uint64((1 << self.longest) - 1)
-        limit = len(padded) - 5
-        for step in range(CHECKPOINT if len(at) > 1 else n):
-            byte = np.minimum(at >> 3, limit)
-            value = (padded[byte] << np.uint64(32)) | (padded[byte + 1] << np.uint64(24)) | (padded[byte + 2] << np.uint64(16))
-            value |= (padded[byte + 3] << np.uint64(8)) | padded[byte + 4]
-            value = (value >> (np.uint64(8) - (at & 7).astype(np.uint64))) >> shift & mask
-            ids = self.table[value]
-            out[:, step] = ids
-            at += np.where(step < left, self.lengths[ids], 0)
-        return out.ravel()[:n]
+    def decode(self, blocks: list[tuple[bytes, np.ndarray, int]]) -> list[np.ndarray]:
+        """The ids of blocks (bits, offsets, number of ids); all stretches between checkpoints of
+        all blocks advance together.
+        """
+        raw = np.frombuffer(b"".join(bits for bits, _, _ in blocks) + b"\0" * 8, np.uint8).astype(np.uint32)
+        words = raw[:-3] << np.uint32(24)  # the 32 bits from each byte on
+        for i in (1, 2, 3):
+            words |= raw[i : len(raw) - 3 + i] << np.uint32(24 - 8 * i)
+        bases = np.cumsum([0, *(8 * len(bits) for bits, _, _ in blocks)])
+        at = np.concatenate([base + offsets.astype(np.int64) for base, (_, offsets, _) in zip(bases, blocks)])
+        out = np.empty((CHECKPOINT, len(at)), np.uint32)
+        top, mask, last = 32 - self.longest, np.uint32((1 << self.longest) - 1), len(words) - 1
+        lengths = self.table_lengths
+        for step in range(CHECKPOINT):
+            # a stretch that ended reads on into what follows; its surplus is cut off below
+            value = words[np.minimum(at >> 3, last)] >> (top - (at & 7)).astype(np.uint32) & mask
+            out[step] = self.table[value]
+            at += lengths[value]
+        stretches = out.T
+        found, first = [], 0
+        for _, offsets, n in blocks:
+            found.append(stretches[first : first + len(offsets)].ravel()[:n])
+            first += len(offsets)
+        return found
 
 
 def _encoded(code: Code, kind: str):
@@ -208,21 +216,26 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = Code(lengths)
         for batch in batches:
-            for row in range(batch.num_rows):
-                begin, n, docs, sizes, offsets, bits = (batch.column(i)[row] for i in range(6))
-                ids = code.decode(bits.as_py(), np.frombuffer(offsets.as_buffer(), np.uint32), n.as_py()).astype("<u4")
-                size = np.array(sizes.as_py(), np.int64)
-                ends = np.cumsum(size)
-                raw = ids.tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        docs.values,
-                        pa.array(begin.as_py() + ends - size),
-                        pa.array(size),
-                        pa.array([raw[4 * (e - s) : 4 * e] for s, e in zip(size, ends)], pa.binary()),
-                    ],
-                    names=["doc_id", "start", "n_tokens", "ids"],
-                )
+            for first in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(first, TOGETHER)
+                begins, counts, docs, sizes, offsets, bits = (part.column(i) for i in range(6))
+                blocks = [
+                    (b, np.frombuffer(o, np.uint32), n)
+                    for b, o, n in zip(bits.to_pylist(), offsets.to_pylist(), counts.to_pylist())
+                ]
+                for row, ids in enumerate(code.decode(blocks)):
+                    size = np.array(sizes[row].as_py(), np.int64)
+                    ends = np.cumsum(size)
+                    raw = ids.astype("<u4").tobytes()
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            docs[row].values,
+                            pa.array(begins[row].as_py() + ends - size),
+                            pa.array(size),
+                            pa.array([raw[4 * (e - s) : 4 * e] for s, e in zip(size, ends)], pa.binary()),
+                        ],
+                        names=["doc_id", "start", "n_tokens", "ids"],
+                    )
 
     placed = blocks.join(begins, (F.col("part") == F.col("p")) & (F.col("block") == F.col("b")))
     return placed.select("begin", "n_ids", "doc_ids", "doc_sizes", "offsets", "bits").mapInArrow(
@@ -232,8 +245,3 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 
 def new_file_set(spark: SparkSession) -> str:
     return new_path(spark, "id-files")
-
-
-def checksum(ids: F.Column) -> F.Column:
-    """Unsigned crc32 of binary ids."""
-    return F.crc32(ids)

@@ -1,13 +1,12 @@
 """Token ids of whole texts from a public tokenizer, with a bounded memory of encoded words.
 
-Both vocabularies used here cut texts before a single space that stands between other characters, so
-a text may be encoded word by word. Words not met before are encoded in one call per batch. Texts in
-which white space follows a space are encoded whole.
+Both vocabularies used here cut texts before a space or line break that stands between other
+characters, so a text may be encoded word by word. Words not met before are encoded in one call per
+batch. Where white space follows white space the cut may lie elsewhere: such texts are encoded whole.
 """
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -22,19 +21,22 @@ from tokenizers import Tokenizer
 
 from spendmart.llm.common import compactly_staged
 
-#: Words remembered before the memory is emptied.
-MEMORY = 500_000
-_WHOLE = re.compile(r" \s|\s $")
+#: Words remembered; when they are more, those met only once are forgotten.
+MEMORY = 1_000_000
 
 
 class Encoder:
     def __init__(self, name: str):
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text here
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes | None] = {}
+        self.met_again: set[str] = set()
 
     def _learn(self, words: list[str]) -> None:
-        """Encode words as one sequence of separate pieces and keep each one's ids."""
+        """Encode words as one sequence of separate pieces and keep each one's ids.
+
+        None marks white space before white space: a text with it must be encoded whole.
+        """
         for i in range(0, len(words), 20_000):
             part = words[i : i + 20_000]
             made = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
@@ -43,29 +45,38 @@ class Encoder:
             ends = np.searchsorted(of, np.arange(len(part) + 1)) * 4
             raw = ids.tobytes()
             self.known.update((w, raw[a:b]) for w, a, b in zip(part, ends[:-1].tolist(), ends[1:].tolist()))
+            self.known.update((w, None) for w in part if w and w[0] in " \n" and (len(w) == 1 or w[1].isspace()))
+
+    def _forget(self) -> None:
+        if len(self.known) > MEMORY:
+            kept = self.met_again if len(self.met_again) <= MEMORY // 2 else ()
+            self.known = {w: self.known[w] for w in kept if w in self.known}
+            self.met_again = set()
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text; a null text has none."""
-        if len(self.known) > MEMORY:
-            self.known.clear()
+        self._forget()
         parts: list[list[str] | None] = []
-        new: set[str] = set()
+        met: set[str] = set()
         for text in texts:
-            if not text or _WHOLE.search(text):
+            if not text or "\0" in text:
                 parts.append(None)
                 continue
-            words = text.replace(" ", "\0 ").split("\0") if "\0" not in text else [text]
-            new.update(words)
+            words = text.replace("\n", "\0\n").replace(" ", "\0 ").split("\0")
+            met.update(words)
             parts.append(words)
-        self._learn([w for w in new if w not in self.known])
+        new = met.difference(self.known)
+        self.met_again.update(met.difference(new))
+        self._learn(list(new))
         known = self.known
         for text, words in zip(texts, parts):
-            if words is not None:
-                yield b"".join([known[w] for w in words])
-            elif text:
-                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-            else:
+            if not text:
                 yield b""
+                continue
+            try:
+                yield b"".join([known[w] for w in words])  # type: ignore[union-attr, misc]
+            except TypeError:  # a None among them, or no words
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 @lru_cache(2)
