@@ -7,6 +7,7 @@ batch. Where white space follows white space the cut may lie elsewhere: such tex
 
 from __future__ import annotations
 
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -22,7 +23,12 @@ from tokenizers import Tokenizer
 from spendmart.llm.common import compactly_staged
 
 #: Words remembered; when they are more, those met only once are forgotten.
-MEMORY = 1_000_000
+MEMORY = 1_500_000
+MARKS = (",", ".")
+#: How byte-level vocabularies write bytes that aren't visible characters: as letters from U+0100 on.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+SPACE = chr(BYTES[32])
 
 
 class Encoder:
@@ -31,8 +37,33 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text here
         self.known: dict[str, bytes | None] = {}
         self.met_again: set[str] = set()
-
-    def _learn(self, words: list[str]) -> None:
+        ids = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in ("Word", "word", " word", "\nword")]
+        #: Whether case and white space make no difference to the ids.
+        self.folds = all(x == ids[0] for x in ids)
+        self._encode(list(MARKS))
+
+    def _learn(self, words: set[str]) -> None:
+        """Keep the ids of new words. Plain words, with or without a comma or full stop behind, go
+        straight to the vocabulary's merges; all others through the whole tokenizer.
+        """
+        known, merge, folds = self.known, self.tokenizer.model.tokenize, self.folds
+        others = []
+        for w in words:
+            base, tail = (w[:-1], known[w[-1]]) if w[-1:] in MARKS and len(w) > 1 else (w, b"")
+            letters = base[1:] if base[:1] == " " else base
+            if not letters.isalpha() or not (letters.isascii() or not folds):
+                others.append(w)
+                continue
+            if folds:
+                symbols = letters.lower()
+            elif letters.isascii():
+                symbols = base.replace(" ", SPACE)
+            else:
+                symbols = base.encode().decode("latin-1").translate(BYTES)
+            known[w] = array("I", [t.id for t in merge(symbols)]).tobytes() + tail  # type: ignore[operator]
+        self._encode(others)
+
+    def _encode(self, words: list[str]) -> None:
         """Encode words as one sequence of separate pieces and keep each one's ids.
 
         None marks white space before white space: a text with it must be encoded whole.
@@ -52,6 +83,7 @@ class Encoder:
             kept = self.met_again if len(self.met_again) <= MEMORY // 2 else ()
             self.known = {w: self.known[w] for w in kept if w in self.known}
             self.met_again = set()
+            self._encode(list(MARKS))
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text; a null text has none."""
@@ -67,7 +99,7 @@ class Encoder:
             parts.append(words)
         new = met.difference(self.known)
         self.met_again.update(met.difference(new))
-        self._learn(list(new))
+        self._learn(new)
         known = self.known
         for text, words in zip(texts, parts):
             if not text:
