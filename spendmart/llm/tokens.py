@@ -11,6 +11,7 @@ from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -22,7 +23,7 @@ from tokenizers import Tokenizer
 
 from spendmart.llm.common import compactly_staged
 
-#: Words remembered; when they are more, those met only once are forgotten.
+#: Words remembered; when they are more, those met only once are forgotten, and beyond half of it the rest.
 MEMORY = 1_500_000
 MARKS = (",", ".")
 #: How byte-level vocabularies write bytes that aren't visible characters: as letters from U+0100 on.
@@ -54,13 +55,18 @@ class Encoder:
             if not letters.isalpha() or not (letters.isascii() or not folds):
                 others.append(w)
                 continue
-            if folds:
-                symbols = letters.lower()
-            elif letters.isascii():
-                symbols = base.replace(" ", SPACE)
-            else:
-                symbols = base.encode().decode("latin-1").translate(BYTES)
-            known[w] = array("I", [t.id for t in merge(symbols)]).tobytes() + tail  # type: ignore[operator]
+            plain = " " + letters.lower() if folds else base
+            ids = known.get(plain)
+            if ids is None:
+                if folds:
+                    symbols = plain[1:]
+                elif letters.isascii():
+                    symbols = base.replace(" ", SPACE)
+                else:
+                    symbols = base.encode().decode("latin-1").translate(BYTES)
+                known[plain] = ids = array("I", [t.id for t in merge(symbols)]).tobytes()
+            if w is not plain:
+                known[w] = ids + tail  # type: ignore[operator]
         self._encode(others)
 
     def _encode(self, words: list[str]) -> None:
@@ -80,7 +86,7 @@ class Encoder:
 
     def _forget(self) -> None:
         if len(self.known) > MEMORY:
-            kept = self.met_again if len(self.met_again) <= MEMORY // 2 else ()
+            kept = islice(self.met_again, MEMORY // 2)
             self.known = {w: self.known[w] for w in kept if w in self.known}
             self.met_again = set()
             self._encode(list(MARKS))
