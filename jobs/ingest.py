@@ -5,22 +5,24 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
-from spendmart.operators.geo import geo_map, last_of_each_key
+from spendmart.operators.geo import geo_map, last_of_each_key, map_key
 from spendmart.operators.lookup import sized_lookup
 from spendmart.operators.numbering import number_file_rows
 from spendmart.operators.quality import reject_metrics, validate
 from spendmart.plans.clean import clean_rows
-from spendmart.schemas import CHANNELS, CLEAN_FILE_ROWS, channel_spec
+from spendmart.schemas import CHANNELS, channel_spec
 from spendmart.session import get_session
 from spendmart.sinks.files import write_clean
-from spendmart.sources.files import read_csv, read_raw_lines
+from spendmart.sources.files import read_csv, read_raw_lines, undated_files
 
 
 def read_geo_map(spark, path: str, missing: str | None = None):
     """The code map; where a code occurs again, the later row of the file counts."""
-    numbered = number_file_rows(read_csv(spark, path, missing=missing), "_row")
-    codes = last_of_each_key(numbered, ["country_code"], ["_row"], ["Country"])
+    numbered = number_file_rows(read_csv(spark, path, missing=missing, multi_line=True), "_row")
+    spelled = numbered.withColumn("country_code", map_key(F.col("country_code").cast("string")))
+    codes = last_of_each_key(spelled, ["country_code"], ["_row"], ["Country"])
     return sized_lookup(geo_map(codes), ["code"])
 
 
@@ -31,6 +33,7 @@ def run(args: argparse.Namespace) -> dict[str, dict]:
     for channel in args.channels:
         spec = channel_spec(channel)
         lines = read_raw_lines(spark, f"{args.raw}/{spec.prefix}")
+        print(channel, "files without a day, left out:", undated_files(spark, f"{args.raw}/{spec.prefix}").count())
         seen = Observation()
         checked = validate(lines, spec).observe(seen, *reject_metrics())
         write_clean(
@@ -55,7 +58,7 @@ def arguments() -> argparse.ArgumentParser:
     parser.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
     parser.add_argument("--in-place", action="store_true", help="write without a shuffle")
     parser.add_argument(
-        "--file-rows", type=int, default=CLEAN_FILE_ROWS, help="rows per file, 0 for no limit"
+        "--file-rows", type=int, default=0, help="rows per file, 0 for no limit"
     )
     return parser
 

@@ -23,7 +23,7 @@ def parse_day(day: Column) -> Column:
 
     Days outside the range of a nanosecond timestamp are null too.
     """
-    eight_digits = day.rlike("^[0-9]{8}$") & day.between(FIRST_DAY, LAST_DAY)
+    eight_digits = day.rlike(r"^[0-9]{8}\z") & day.between(FIRST_DAY, LAST_DAY)
     return F.when(eight_digits, digits_to_date(day))
 
 

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 WHITESPACE = " \t\r\n\f\v"
 
 # Fixed value: raw files are named ..._<yyyyMMdd>.txt.
-DATED_FILE = r"_([0-9]{8})(?:\.txt)+$"
-DATED_FILE_GLOB = "*_" + "[0-9]" * 8 + ".txt"
+DATED_FILE = r"_([0-9]{8})(?:\.txt)+\z"
+# What listing can tell already; the pattern decides.
+DATED_FILE_GLOB = "*_" + "[0-9]" * 8 + "*.txt"
 
 
 def stripped(text: Column) -> Column:
@@ -21,11 +22,6 @@ def file_day(file_name: Column) -> Column:
     return F.regexp_extract(file_name, DATED_FILE, 1)
 
 
-def file_day_of_dated(file_name: Column) -> Column:
-    """The same for names already known to match ``DATED_FILE_GLOB``, without a pattern."""
-    return F.substring(file_name, -12, 8)
-
-
 def channel_of_prefix(prefix: Column) -> Column:
     """``facebook_data`` -> ``facebook``."""
     return F.split_part(prefix, F.lit("_"), F.lit(1))

@@ -52,11 +52,19 @@ def map_country_codes(rows: DataFrame, codes: DataFrame, column: str) -> DataFra
 def last_of_each_key(
     rows: DataFrame, keys: list[str], position: list[str], values: list[str]
 ) -> DataFrame:
-    """One row per key: the one at the highest position.
+    """One row per key: the one at the highest position, which no two rows of a key share.
 
-    A grouped ``max_by``, not a window: each task keeps one row per key before the shuffle,
-    so a key that holds a third of all rows never gathers in one place.
+    A single position is a hashed maximum, and the winners are joined back; several are a grouped
+    ``max_by``. Either keeps one row per key and task before the shuffle, so a key that holds a
+    third of all rows never gathers in one place.
     """
+    if len(position) == 1:
+        last = rows.groupBy(*keys).agg(F.max(position[0]).alias("_last"))
+        same = F.col(position[0]) == F.col("_last")
+        for i, key in enumerate(keys):
+            last = last.withColumnRenamed(key, f"_key{i}")
+            same = same & F.col(key).eqNullSafe(F.col(f"_key{i}"))
+        return rows.join(last, same).select(*keys, *values)
     newest = F.max_by(F.struct(*values), F.struct(*position)).alias("_newest")
     return rows.groupBy(*keys).agg(newest).select(*keys, "_newest.*")
 

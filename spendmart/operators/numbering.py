@@ -14,12 +14,13 @@ PARTITION_BIT = 33
 
 
 def number_in_order(rows: DataFrame, order: str, name: str, first: int = 1) -> DataFrame:
-    """Number rows ``first, first+1, ...`` by ``order``, which should be unique.
+    """Number rows ``first, first+1, ...`` by ``order``, and by the other columns where it ties.
 
     Range-sorted partitions are checkpointed, so that position within a partition is fixed for
     both uses below even if a task is rerun. Only one count per partition meets in one task.
     """
-    ordered = rows.orderBy(order).withColumn("_at", F.monotonically_increasing_id())
+    ties = [c for c, kind in rows.dtypes if c != order and not kind.startswith("map")]
+    ordered = rows.orderBy(order, *ties).withColumn("_at", F.monotonically_increasing_id())
     fixed = checkpointed(ordered)
     block = F.shiftright("_at", PARTITION_BIT)
     # One row per partition: small whatever the data, so it can always be broadcast.
@@ -69,6 +70,15 @@ def _add_numbers(
     return keyed.join(mark(offsets), same).select(*kept, number)
 
 
+def rows_in_order(rows: DataFrame, order: list[str], first: int, last: int) -> DataFrame:
+    """Rows ``first`` to ``last`` (from 1, both included) in ``order``.
+
+    Each task keeps its first ``last`` rows and one task merges them, so what meets there is
+    bounded by ``last``; for deep ranges number the rows instead.
+    """
+    return rows.orderBy(*order).limit(last).offset(first - 1)
+
+
 def row_range(numbered: DataFrame, number: str, first: int, last: int) -> DataFrame:
     """Rows ``first`` to ``last``, both included."""
     return numbered.where(F.col(number).between(first, last)).drop(number)

@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Cost has six decimals and rates seldom more than four; Spark widens the sum to 38 digits.
-MONEY = "decimal(28,8)"
+# Cost has six decimals, rates of weak currencies up to ten.
+MONEY = "decimal(38,16)"
 
 
 def total(cost: str) -> Column:
     """Sum of a double column that does not depend on the order of addition.
 
-    Tasks finish in any order, and double sums would change with it in the last cents.
+    Tasks finish in any order, and double sums would change with it in the last cents. A value
+    that is no number makes the sum NaN.
     """
-    return F.sum(F.col(cost).cast(MONEY)).cast("double")
+    unknown = F.bool_or(F.isnan(cost) | (F.abs(F.col(cost)) == float("inf")))
+    return F.when(unknown, F.lit(float("nan"))).otherwise(F.sum(F.col(cost).try_cast(MONEY)).cast("double"))
 
 
 def spend_by_channel_and_day(fact: DataFrame) -> DataFrame:

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 UNKNOWN_COUNTRY = "Unknown"
 DATE_PATTERN = "yyyyMMdd"
 COST_DECIMALS = 6
-CLEAN_FILE_ROWS = 10_000
 JDBC_BATCH_ROWS = 10_000
 GEO_TARGET_TYPES = ("Country", "Region")
 GEO_FIRST_ROW = 29565

@@ -7,7 +7,7 @@ from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schemas import CLEAN_COLUMNS, CLEAN_FILE_ROWS, CLEAN_PARTITIONS, require_columns
+from ..schemas import CLEAN_COLUMNS, CLEAN_PARTITIONS, require_columns
 
 
 @contextmanager
@@ -45,6 +45,9 @@ def write_partitioned(
 
     Without ``gather`` each task writes the days it read and nothing is shuffled: right for
     input files that are already large and hold one day each.
+
+    While it writes, merging of small partitions is off for the whole session: don't run other
+    queries in it meanwhile. Days whose rows were all rejected keep their earlier partition.
     """
     tasks = nullcontext()
     if gather:
@@ -65,12 +68,11 @@ def write_clean(
     *,
     mode: str = "overwrite",
     gather: bool = True,
-    file_rows: int | None = CLEAN_FILE_ROWS,
+    file_rows: int | None = None,
 ) -> None:
     """Write one channel's clean rows by year, month and day.
 
-    The default of 10,000 rows per file suits daily exports of a few thousand rows. For large
-    histories pass a few million, or ``None`` to let the partition size decide.
+    Partition sizes decide how large files get. ``file_rows`` limits the rows of a file on top.
     """
     require_columns(clean.columns, [*CLEAN_COLUMNS, *CLEAN_PARTITIONS], "clean table")
     write_partitioned(clean, path, CLEAN_PARTITIONS, mode=mode, gather=gather, file_rows=file_rows)
@@ -82,5 +84,9 @@ def write_fact(fact: DataFrame, path: str, *, mode: str = "overwrite", gather: b
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Write CSV with a header to a path that does not exist yet, never over an input."""
-    df.write.option("header", True).option("escape", '"').mode("errorifexists").csv(path)
+    """Write CSV with a header to a path that does not exist yet, never over an input.
+
+    Values keep their blanks. Those with line breaks are quoted; read them with ``multi_line``.
+    """
+    writer = df.write.option("header", True).option("escape", '"').mode("errorifexists")
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)

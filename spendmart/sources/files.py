@@ -6,17 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dates import date_id, digits_to_date, parse_day
-from ..functions.text import DATED_FILE_GLOB, file_day, file_day_of_dated
+from ..functions.dates import date_id, parse_day
+from ..functions.text import DATED_FILE_GLOB, file_day
 from ..operators.shape import select_once
-from ..schemas import CLEAN_PARTITIONS, CLEAN_SCHEMA
+from ..schemas import CLEAN_PARTITIONS, CLEAN_SCHEMA, FACT_SCHEMA
 
 
 def read_raw_lines(spark: SparkSession, path: str, *, dated_only: bool = True) -> DataFrame:
     """``line, file_name`` for every line of the ``.txt`` files below ``path``.
 
-    With ``dated_only`` files whose name does not end in a real day are left out: names
-    without eight digits already when files are listed, impossible days by the filter.
+    With ``dated_only`` files whose name does not end in a real day are left out, most of them
+    already when files are listed; ``undated_files`` names them.
     """
     lines = (
         spark.read.option("recursiveFileLookup", True)
@@ -25,11 +25,17 @@ def read_raw_lines(spark: SparkSession, path: str, *, dated_only: bool = True) -
         .select(F.col("value").alias("line"), F.col("_metadata.file_name").alias("file_name"))
     )
     if dated_only:
-        day = file_day_of_dated(F.col("file_name"))
-        lines = lines.where(digits_to_date(day).isNotNull())
+        lines = lines.where(parse_day(file_day(F.col("file_name"))).isNotNull())
     return lines
 
 
+def undated_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path, file_name`` of the ``.txt`` files that ``dated_only`` leaves out; no content is read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt")
+    files = listed.load(path).select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"))
+    return files.where(parse_day(file_day(F.col("file_name"))).isNull())
+
+
 def dated_files(files: DataFrame) -> DataFrame:
     """Rows of a file list (``file_name``, any other columns) whose name ends in a real day,
     with that ``file_day``."""
@@ -38,14 +44,25 @@ def dated_files(files: DataFrame) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path: str, *, missing: str | None = None, header: bool = True
+    spark: SparkSession,
+    path: str,
+    *,
+    missing: str | None = None,
+    header: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with every column as text, named by the header.
 
     Columns are text so that no inference pass runs and no value is reinterpreted: the country
     code ``NA`` stays ``NA``. ``missing="NA"`` restores the reading in which it is null.
+
+    ``multi_line`` reads quoted line breaks; a file is then one task, so it is for small lookups.
+    Without it a record torn by a line break is an error, never two rows.
     """
-    reader = spark.read.option("header", header).option("escape", '"')
+    reader = spark.read.option("header", header).option("escape", '"').option("multiLine", multi_line)
+    reader = reader.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    if not multi_line:
+        reader = reader.option("mode", "FAILFAST")
     if missing is not None:
         reader = reader.option("nullValue", missing)
     return reader.csv(path)
@@ -89,6 +106,18 @@ def read_clean(
     )
 
 
+def read_fact(
+    spark: SparkSession, path: str, *, first_day: str | None = None, last_day: str | None = None
+) -> DataFrame:
+    """The fact table, ``date_id`` as text. Only folders from ``first_day`` to ``last_day`` are read."""
+    rows = spark.read.schema(FACT_SCHEMA).parquet(path)
+    if first_day is not None:
+        rows = rows.where(F.col("date_id") >= first_day)
+    if last_day is not None:
+        rows = rows.where(F.col("date_id") <= last_day)
+    return rows.select(*FACT_SCHEMA.names)
+
+
 def project(table: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Only the named columns, cast to the given types (an integer ``date_id`` becomes text)."""
     return table.select(*[F.col(name).cast(kind).alias(name) for name, kind in columns.items()])

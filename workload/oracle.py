@@ -156,7 +156,7 @@ _TEXT_FIELDS = (
     "currency, country, raw_day AS day, raw_impressions AS impressions, "
     "coalesce(raw_cost, '0.0') AS cost"
 )
-_TOTAL = "CAST(sum(CAST(cost_usd AS DECIMAL(28, 8))) AS DOUBLE)"
+_TOTAL = "CAST(sum(CAST(cost_usd AS DECIMAL(38, 16))) AS DOUBLE)"
 _CLEAN_COLUMNS = "channel, currency, country, date_id, impressions, cost"
 _FACT_COLUMNS = "channel_id, date_id, country_id, impressions, cost_usd"
 
@@ -187,6 +187,13 @@ WHERE channel = 'facebook' AND year = 1998 AND month = 6""",
     "scan_dims": _RATES,
     "partitioned_write_roundtrip": _select(CLEAN, f"SELECT {_CLEAN_COLUMNS} FROM clean"),
     "fact_write_roundtrip": _select(FACT, f"SELECT {_FACT_COLUMNS} FROM fact"),
+    "fact_period": _select(
+        FACT, f"SELECT {_FACT_COLUMNS} FROM fact WHERE date_id BETWEEN '19980601' AND '19980630'"
+    ),
+    "records_per_file": _select(
+        CLEAN,
+        "SELECT currency, country, date_id, impressions, cost FROM clean WHERE channel = 'facebook'",
+    ),
     "geo_csv_roundtrip": _select(
         TARGETS,
         f"SELECT CAST(criteria_id AS VARCHAR) AS criteria_id, country_code, name {_CURATED}",

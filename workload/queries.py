@@ -144,7 +144,24 @@ def fact_write_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = new_path(spark, "fact")
     rows = facts(spark, sf)
     sinks.write_fact(rows, path)
-    return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+    return sources.read_fact(spark, path)
+
+
+@query
+def fact_period(spark: SparkSession, sf: str) -> DataFrame:
+    """One month of the stored fact table; other days' folders are not read."""
+    path = new_path(spark, "fact")
+    sinks.write_fact(facts(spark, sf), path)
+    return sources.read_fact(spark, path, first_day="19980601", last_day="19980630")
+
+
+@query
+def records_per_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Clean rows written with at most 5 rows a file and read back."""
+    path = new_path(spark, "clean")
+    clean = clean_plan.clean_ads(inputs.raw_lines(spark, sf, "facebook"), FACEBOOK)
+    sinks.write_clean(clean, path, file_rows=5)
+    return sources.read_clean(spark, path)
 
 
 @query
@@ -230,8 +247,7 @@ def row_range_slice(spark: SparkSession, sf: str) -> DataFrame:
     targets = inputs.geo_targets(spark, sf).select(
         F.col("Criteria ID").cast("bigint").alias("criteria_id"), F.col("Name").alias("name")
     )
-    numbered = numbering.number_in_order(targets, "criteria_id", "position")
-    return numbering.row_range(numbered, "position", *SLICE)
+    return numbering.rows_in_order(targets, ["criteria_id"], *SLICE)
 
 
 # --- joins ------------------------------------------------------------------
