@@ -166,14 +166,14 @@ _BLOCKS_SQL = "part int, block bigint, n_ids bigint, doc_ids array<bigint>, doc_
 
 def write_ids(
     docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = "word_bpe_49k.json", end_id: int = 2,
-    ids_per_part: int = 1 << 25,
+    ids_per_part: int = 1 << 25, word_memory: int = 2_200_000,
 ) -> None:
     """Encode all texts into the file set at ``path``, in ascending ``id_col`` order.
 
     ``ids_per_part`` sets how many ids a file has, about.
     """
     chosen = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    tokens, kind = tokenized(chosen, ["doc_id"], "text", vocabulary, end_id)
+    tokens, kind = tokenized(chosen, ["doc_id"], "text", vocabulary, end_id, word_memory)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)

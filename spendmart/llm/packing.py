@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spendmart.llm.tokens import tokenized
+from spendmart.llm.tokens import MEMORY, tokenized
 from spendmart.staging import staged
 
 QUEUES = 4096
@@ -96,6 +96,7 @@ def pack(
     size: int = 1024,
     window: int = 65536,
     targets: dict[str | None, float] | None = None,
+    word_memory: int = MEMORY,
 ) -> DataFrame:
     """Pieces of all documents: doc_id, source, start, length, ids_crc32, doc_tokens, sequence_id,
     offset, window.
@@ -109,6 +110,7 @@ def pack(
         "text",
         vocabulary,
         end_id,
+        word_memory,
     )
     spark = docs.sparkSession
     per_part = tokens.groupBy("source", "part").agg(F.sum("n_tokens").alias("n"))

@@ -33,7 +33,8 @@ SPACE = chr(BYTES[32])
 
 
 class Encoder:
-    def __init__(self, name: str):
+    def __init__(self, name: str, memory: int = MEMORY):
+        self.memory = memory
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text here
         self.known: dict[str, bytes | None] = {}
@@ -85,8 +86,8 @@ class Encoder:
             self.known.update((w, None) for w in part if w and w[0] in " \n" and (len(w) == 1 or w[1].isspace()))
 
     def _forget(self) -> None:
-        if len(self.known) > MEMORY:
-            kept = islice(self.met_again, MEMORY // 2)
+        if len(self.known) > self.memory:
+            kept = islice(self.met_again, self.memory // 2)
             self.known = {w: self.known[w] for w in kept if w in self.known}
             self.met_again = set()
             self._encode(list(MARKS))
@@ -118,9 +119,9 @@ class Encoder:
 
 
 @lru_cache(2)
-def encoder(name: str) -> Encoder:
+def encoder(name: str, memory: int) -> Encoder:
     """One per worker process and vocabulary."""
-    return Encoder(name)
+    return Encoder(name, memory)
 
 
 #: A vocabulary of at most this many ids is stored in 16 bits an id.
@@ -131,18 +132,19 @@ def stored_type(vocabulary: int) -> str:
     return "<u2" if vocabulary <= SHORT else "<u4"
 
 
-def tokenized(docs: DataFrame, key_cols: list[str], text_col: str, vocabulary: str, end_id: int) -> tuple[DataFrame, str]:
+def tokenized(docs: DataFrame, key_cols: list[str], text_col: str, vocabulary: str, end_id: int, memory: int = MEMORY) -> tuple[DataFrame, str]:
     """Stage ``key_cols``, n_tokens, ids, part and inside for each row of ``docs``; and the ids' numpy type.
 
     ``end_id`` follows each text's ids. ``part`` is the writing task, ``inside`` the ids that it
-    wrote before for rows with the same value in the last of ``key_cols``.
+    wrote before for rows with the same value in the last of ``key_cols``. ``memory`` bounds the
+    words that a worker remembers; it changes speed only.
     """
     size = Tokenizer.from_file(public_tokenizers.path(vocabulary)).get_vocab_size()
     kind = stored_type(max(size, end_id + 1))
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, part = encoder(vocabulary), TaskContext.get().partitionId()
+        tool, part = encoder(vocabulary, memory), TaskContext.get().partitionId()
         written: dict[object, int] = defaultdict(int)
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
