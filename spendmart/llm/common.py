@@ -98,7 +98,7 @@ def joined_names(names: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
     return mixed(total)
 
 
-def chunks(texts: list[bytes | None], most: int = 4 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def chunks(texts: list[bytes | None], most: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
     """Consecutive texts of about ``most`` bytes together (a longer one alone), with their place."""
     held: list[bytes] = []
     size = first = 0
