@@ -16,8 +16,8 @@ from spendmart.llm.shipping import ship
 
 #: How often the smaller sources may repeat in the mixture.
 MAX_REPEATS = 1.25
-#: Words a tokenizing worker remembers; workers of other stages stay beside it in memory.
-WORD_MEMORY = 300_000
+#: Words a tokenizing worker remembers during a task. Other stages run in the same workers.
+WORD_MEMORY = 150_000
 
 #: The forests and the tokenizer cannot be expressed in SQL.
 ORACLE_SQL = None
@@ -58,7 +58,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return packing.pack(docs, word_memory=WORD_MEMORY)
+    return packing.pack(docs, word_memory=WORD_MEMORY, words_last=False)
 
 
 STAGES = [

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendmart.llm.common import Words, chunks, joined_names, mixed
+from spendmart.llm.common import Words, chunks, joined_names, lean, mixed
 from spendmart.llm.components import components
 from spendmart.staging import staged
 
@@ -148,7 +148,7 @@ def _bayes(pairs: DataFrame, sigs: DataFrame, threshold: float, miss: float) ->
     first = sigs.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")).hint("merge")
     second = sigs.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")).hint("merge")
     joined = pairs.join(first, "a").join(second, "b")
-    return joined.select("a", "b", "sig_a", "sig_b").mapInArrow(compare, "a bigint, b bigint")
+    return joined.select("a", "b", "sig_a", "sig_b").mapInArrow(lean(compare), "a bigint, b bigint")
 
 
 def _shingles(texts: DataFrame, ids: DataFrame, k: int) -> DataFrame:
@@ -163,7 +163,7 @@ def _shingles(texts: DataFrame, ids: DataFrame, k: int) -> DataFrame:
                 )
 
     needed = texts.join(ids.hint("merge"), "id", "left_semi").select("id", "text")
-    return needed.mapInArrow(sets, "id bigint, shingles binary")
+    return needed.mapInArrow(lean(sets), "id bigint, shingles binary")
 
 
 def _confirmed(pairs: DataFrame, shingles: DataFrame, threshold: float) -> DataFrame:
@@ -186,7 +186,7 @@ def _confirmed(pairs: DataFrame, shingles: DataFrame, threshold: float) -> DataF
     first = shingles.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")).hint("merge")
     second = shingles.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")).hint("merge")
     both = pairs.join(first, "a").join(second, "b")
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(check, "a bigint, b bigint")
+    return both.select("a", "b", "set_a", "set_b").mapInArrow(lean(check), "a bigint, b bigint")
 
 
 def _short(shingles: DataFrame) -> DataFrame:
@@ -197,7 +197,7 @@ def _short(shingles: DataFrame) -> DataFrame:
             sets = [np.unique(np.frombuffer(x.as_buffer(), np.uint64).astype(np.uint32)).tobytes() for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "short"])
 
-    return shingles.mapInArrow(cut, "id bigint, short binary")
+    return shingles.mapInArrow(lean(cut), "id bigint, short binary")
 
 
 def _pairs_of(sig: np.ndarray, left: np.ndarray, right: np.ndarray, comp: np.ndarray, threshold: float, miss: float) -> tuple[np.ndarray, np.ndarray]:
@@ -288,7 +288,7 @@ def near_duplicates(
     source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     profile = staged(
         source.select("id", F.col("text").cast("binary")).mapInArrow(
-            _profile(shingle), "id bigint, n_shingles bigint, set_name binary, sig binary, bands array<bigint>"
+            lean(_profile(shingle)), "id bigint, n_shingles bigint, set_name binary, sig binary, bands array<bigint>"
         ),
         "shingle-profile",
     )

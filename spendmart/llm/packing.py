@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from spendmart.llm.common import lean
 from spendmart.llm.tokens import MEMORY, tokenized
 from spendmart.staging import staged
 
@@ -97,6 +98,7 @@ def pack(
     window: int = 65536,
     targets: dict[str | None, float] | None = None,
     word_memory: int = MEMORY,
+    words_last: bool = True,
 ) -> DataFrame:
     """Pieces of all documents: doc_id, source, start, length, ids_crc32, doc_tokens, sequence_id,
     offset, window.
@@ -111,6 +113,7 @@ def pack(
         vocabulary,
         end_id,
         word_memory,
+        words_last,
     )
     spark = docs.sparkSession
     per_part = tokens.groupBy("source", "part").agg(F.sum("n_tokens").alias("n"))
@@ -153,4 +156,4 @@ def pack(
             names = [f.split()[0] for f in _PIECES.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
-    return placed.mapInArrow(cut, _PIECES)
+    return placed.mapInArrow(lean(cut), _PIECES)

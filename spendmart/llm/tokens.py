@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from spendmart.llm.common import compactly_staged
+from spendmart.llm.common import compactly_staged, lean
 
 #: Words remembered; when they are more, those met only once are forgotten, and beyond half of it the rest.
 MEMORY = 1_500_000
@@ -132,12 +132,15 @@ def stored_type(vocabulary: int) -> str:
     return "<u2" if vocabulary <= SHORT else "<u4"
 
 
-def tokenized(docs: DataFrame, key_cols: list[str], text_col: str, vocabulary: str, end_id: int, memory: int = MEMORY) -> tuple[DataFrame, str]:
+def tokenized(
+    docs: DataFrame, key_cols: list[str], text_col: str, vocabulary: str, end_id: int, memory: int = MEMORY, words_last: bool = True
+) -> tuple[DataFrame, str]:
     """Stage ``key_cols``, n_tokens, ids, part and inside for each row of ``docs``; and the ids' numpy type.
 
     ``end_id`` follows each text's ids. ``part`` is the writing task, ``inside`` the ids that it
     wrote before for rows with the same value in the last of ``key_cols``. ``memory`` bounds the
-    words that a worker remembers; it changes speed only.
+    words that a worker remembers, and without ``words_last`` it forgets them after each task; both
+    change speed only.
     """
     size = Tokenizer.from_file(public_tokenizers.path(vocabulary)).get_vocab_size()
     kind = stored_type(max(size, end_id + 1))
@@ -165,8 +168,11 @@ def tokenized(docs: DataFrame, key_cols: list[str], text_col: str, vocabulary: s
                     ],
                     names=[*batch.schema.names[:-1], "n_tokens", "ids", "part", "inside"],
                 )
+        if not words_last:
+            del tool
+            encoder.cache_clear()
 
     chosen = docs.select(*key_cols, F.col(text_col).cast("string").alias("text_to_encode"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
-    made = chosen.mapInArrow(run, f"{schema}, n_tokens bigint, ids binary, part int, inside bigint")
+    made = chosen.mapInArrow(lean(run), f"{schema}, n_tokens bigint, ids binary, part int, inside bigint")
     return compactly_staged(made, "token-ids"), kind
