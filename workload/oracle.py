@@ -181,8 +181,7 @@ WHERE key % 7 <> 0 AND key % 11 <> 0 AND key % 13 <> 0""",
     ),
     "scan_partitioned": _select(
         CLEAN,
-        """SELECT currency, country, date_id, impressions, cost FROM clean
-WHERE channel = 'facebook' AND year = 1998 AND month = 6""",
+        f"SELECT {_CLEAN_COLUMNS} FROM clean WHERE year = 1998 AND month = 6",
     ),
     "scan_dims": _RATES,
     "partitioned_write_roundtrip": _select(CLEAN, f"SELECT {_CLEAN_COLUMNS} FROM clean"),
@@ -190,10 +189,7 @@ WHERE channel = 'facebook' AND year = 1998 AND month = 6""",
     "fact_period": _select(
         FACT, f"SELECT {_FACT_COLUMNS} FROM fact WHERE date_id BETWEEN '19980601' AND '19980630'"
     ),
-    "records_per_file": _select(
-        CLEAN,
-        "SELECT currency, country, date_id, impressions, cost FROM clean WHERE channel = 'facebook'",
-    ),
+    "records_per_file": _select(CLEAN, f"SELECT {_CLEAN_COLUMNS} FROM clean"),
     "geo_csv_roundtrip": _select(
         TARGETS,
         f"SELECT CAST(criteria_id AS VARCHAR) AS criteria_id, country_code, name {_CURATED}",
@@ -224,9 +220,9 @@ WHERE channel = 'facebook' AND year = 1998 AND month = 6""",
     ),
     "drop_invalid_metrics": _select(
         RAW,
-        f"""SELECT currency, country, raw_day AS day, impressions,
+        f"""SELECT channel, currency, country, raw_day AS day, impressions,
   CASE flaw WHEN 'long_cost' THEN CAST((key % 1000) || '.123457' AS DOUBLE) ELSE cost END AS cost
-{_FACEBOOK} AND (reason IS NULL OR reason <> 'invalid_metric')""",
+FROM raw WHERE {_WELL_FORMED} AND (reason IS NULL OR reason <> 'invalid_metric')""",
     ),
     "null_metric_rows": _select(
         RAW, f"SELECT {_RAW_FIELDS} {_FACEBOOK} AND raw_impressions IS NULL"
@@ -260,8 +256,7 @@ AND (raw_country IS NULL OR country_no >= {MAPPED_NATIONS})""",
     ),
     "partition_row_counts": _select(
         CLEAN,
-        """SELECT year, month, day_of_month, count(*) AS n FROM clean
-WHERE channel = 'facebook' GROUP BY ALL""",
+        """SELECT channel, year, month, day_of_month, count(*) AS n FROM clean GROUP BY ALL""",
     ),
     "ingest_reject_counts": _select(
         RAW,

@@ -55,6 +55,12 @@ def facts(spark: SparkSession, sf: str) -> DataFrame:
     return fact.build_fact(ads_by_channel(spark, sf), inputs.lookups(spark, sf))
 
 
+def both(by_channel: dict[str, DataFrame]) -> DataFrame:
+    """The channels' rows together, with a ``channel`` column."""
+    tagged = [rows.withColumn("channel", F.lit(name)) for name, rows in by_channel.items()]
+    return tagged[0].unionByName(tagged[1])
+
+
 # --- sources and sinks ------------------------------------------------------
 
 
@@ -115,10 +121,13 @@ def scan_geo_map(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def scan_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     """One month of the partitioned clean table; other folders are not read."""
-    path = new_path(spark, "clean")
-    clean = clean_plan.clean_ads(inputs.raw_lines(spark, sf, "facebook"), FACEBOOK)
-    sinks.write_clean(clean, path)
-    return sources.read_clean(spark, path, year=1998, month=6)
+    root = new_path(spark, "clean")
+    read = {}
+    for name, clean in clean_by_channel(spark, sf).items():
+        path = f"{root}/{CHANNELS[name].prefix}"
+        sinks.write_clean(clean, path)
+        read[name] = sources.read_clean(spark, path, year=1998, month=6)
+    return both(read)
 
 
 @query
@@ -158,10 +167,13 @@ def fact_period(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def records_per_file(spark: SparkSession, sf: str) -> DataFrame:
     """Clean rows written with at most 5 rows a file and read back."""
-    path = new_path(spark, "clean")
-    clean = clean_plan.clean_ads(inputs.raw_lines(spark, sf, "facebook"), FACEBOOK)
-    sinks.write_clean(clean, path, file_rows=5)
-    return sources.read_clean(spark, path)
+    root = new_path(spark, "clean")
+    read = {}
+    for name, clean in clean_by_channel(spark, sf).items():
+        path = f"{root}/{CHANNELS[name].prefix}"
+        sinks.write_clean(clean, path, file_rows=5)
+        read[name] = sources.read_clean(spark, path)
+    return both(read)
 
 
 @query
@@ -231,8 +243,12 @@ def drop_invalid_day(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def drop_invalid_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    rows = normalize.normalize(inputs.raw_lines(spark, sf, "facebook"), FACEBOOK)
-    return quality.drop_invalid_metrics(rows)
+    codes = inputs.code_map(spark, sf)
+    rows = {
+        name: normalize.normalize(inputs.raw_lines(spark, sf, name), spec, codes)
+        for name, spec in CHANNELS.items()
+    }
+    return both({name: quality.drop_invalid_metrics(r) for name, r in rows.items()})
 
 
 @query
@@ -296,8 +312,8 @@ def unmapped_codes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def partition_row_counts(spark: SparkSession, sf: str) -> DataFrame:
-    clean = clean_plan.clean_ads(inputs.raw_lines(spark, sf, "facebook"), FACEBOOK)
-    return clean_plan.partition_row_counts(clean)
+    clean = clean_by_channel(spark, sf)
+    return both({name: clean_plan.partition_row_counts(rows) for name, rows in clean.items()})
 
 
 @query
