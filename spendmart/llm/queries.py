@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendmart.llm import idfiles, mixing, neardup, neighbours, packing, pages, pseudonyms, quality, repeats, secret_scan
+from spendmart.llm import idfiles, importance, mixing, neardup, neighbours, packing, pages, pseudonyms, quality, repeats, secret_scan, vptree
 from spendmart.llm.common import table
 from spendmart.llm.shipping import ship
 
@@ -181,3 +181,97 @@ SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(b) AS comp
 FROM documents d JOIN reach ON a = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id
 GROUP BY d.doc_id
 """
+
+
+@query
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance.resampled(docs, table(spark, sf_dir, "benchmark").select("text"))
+
+
+# CRC-32 by its table, which the SQL makes from the polynomial, over each distinct word's bytes.
+ORACLE["op11_importance"] = r"""
+WITH crc_table AS (
+  SELECT list(list_reduce(list_concat([n], range(8)), lambda r, _: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END)
+              ORDER BY n) AS t
+  FROM range(256) AS bytes(n)
+), doc_words AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), target_words AS (
+  SELECT unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+  FROM benchmark
+), doc_counts AS (
+  SELECT rid, word, count(*) AS n FROM (SELECT rid, unnest(w) AS word FROM doc_words) GROUP BY ALL
+), hexed AS (
+  SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM doc_counts UNION SELECT word FROM target_words)
+), buckets AS (
+  SELECT word, xor(list_reduce(
+    list_concat([4294967295], list_transform(range(1, len(h), 2), lambda i: ('0x' || substr(h, i, 2))::BIGINT)),
+    lambda r, b: xor(r // 256, t[xor(r % 256, b) + 1])), 4294967295) % 10000 AS bucket
+  FROM hexed, crc_table
+), sources AS (
+  SELECT bucket, sum(n) AS s FROM doc_counts JOIN buckets USING (word) GROUP BY bucket
+), targets AS (
+  SELECT bucket, count(*) AS t FROM target_words JOIN buckets USING (word) GROUP BY bucket
+), totals AS (
+  SELECT (SELECT coalesce(sum(s), 0) FROM sources) AS s_all, (SELECT coalesce(sum(t), 0) FROM targets) AS t_all
+), gains AS (
+  SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1) * (s_all + 10000))::DOUBLE / ((s + 1) * (t_all + 10000))::DOUBLE))::BIGINT AS gain
+  FROM sources LEFT JOIN targets USING (bucket), totals
+), weights AS (
+  SELECT rid, sum(n * gain)::BIGINT AS weight FROM doc_counts JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY rid
+), scored AS (
+  SELECT d.rid, doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM doc_words d LEFT JOIN weights USING (rid)
+), ranked AS (
+  SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank
+FROM scored LEFT JOIN ranked USING (rid)
+"""
+
+
+@query
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.clustered(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def _clusters(of: str) -> str:
+    """The nearest of the centroids in table ``of`` for each vector."""
+    return f"""(SELECT * FROM (
+    SELECT rid, c, d, row_number() OVER (PARTITION BY rid ORDER BY d, c) AS r
+    FROM (SELECT rid, c, sum((x - y) * (x - y))::BIGINT AS d FROM parts JOIN {of} USING (i) GROUP BY rid, c)) WHERE r = 1)"""
+
+
+ORACLE["op13_centroids"] = (
+    """
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64
+), parts AS MATERIALIZED (
+  SELECT rid, unnest(range(64)) AS i, unnest(list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT)) AS x FROM kept
+), seeds AS (
+  SELECT rid, row_number() OVER (ORDER BY sha256('2:' || vec_id), rid) - 1 AS c FROM kept
+), c0 AS MATERIALIZED (
+  SELECT c, i, x AS y FROM seeds JOIN parts USING (rid) WHERE c < 40
+)"""
+    + "".join(
+        f""", sums{r} AS MATERIALIZED (
+  SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n FROM {_clusters(f"c{r}")} JOIN parts USING (rid) GROUP BY c, i
+), c{r + 1} AS MATERIALIZED (
+  SELECT c, i, CASE WHEN n IS NULL THEN y WHEN s >= 0 THEN s // n ELSE -((n - 1 - s) // n) END AS y FROM c{r} LEFT JOIN sums{r} USING (c, i)
+)"""
+        for r in range(5)
+    )
+    + f""", final AS MATERIALIZED {_clusters("c5")}, names AS (
+  SELECT c, sha256(string_agg(y::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c5 GROUP BY c
+)
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM final JOIN kept USING (rid) JOIN names USING (c)
+"""
+)
