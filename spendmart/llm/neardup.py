@@ -27,8 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendmart.llm.common import Words, chunks, joined_names, lean, mixed
+from spendmart.llm.common import Words, chunks, compactly_staged, free_name, joined_names, lean, mixed
 from spendmart.llm.components import components
+from spendmart.operators.numbering import number_in_order
 from spendmart.staging import staged
 
 HASHES, BAND = 128, 4
@@ -330,3 +331,36 @@ def near_duplicates(
             F.coalesce(F.col("id") == F.coalesce("component", "id"), F.lit(True)).alias("kept"),
         )
     )
+
+
+def without_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: the one with the smallest id.
+
+    Rows are linked, not ids: texts that share an id, or have none, are told apart by numbers of
+    their own beyond the largest id, so only a row whose own text is confirmed goes. Of rows equal in
+    id and text the smallest by its other columns stays.
+    """
+    id_ = F.col(id_col).cast("bigint")
+    node = free_name(docs, "_node")
+    digest = free_name(docs, "_digest")
+    keyed = docs.withColumn(node, id_)
+    repeated = staged(docs.groupBy(id_.alias("id")).agg(F.count("*").alias("n")).where("n > 1 or id is null"), "repeated-ids")
+    if not repeated.isEmpty():
+        shared = F.broadcast(repeated) if repeated.count() < 1 << 16 else repeated
+        alone = keyed.join(shared, keyed[node].eqNullSafe(F.col("id")), "left_anti")
+        several = keyed.join(shared, keyed[node].eqNullSafe(F.col("id")), "left_semi")
+        several = several.withColumn(digest, F.coalesce(F.md5(F.col(text_col).cast("string").cast("binary")), F.lit("")))
+        others = [c for c in docs.columns]
+        plain = [c for c, kind in docs.dtypes if "map<" not in kind]
+        first = several.groupBy(node, digest).agg(F.min_by(F.struct(*others), F.struct(*plain)).alias("r"))
+        several = compactly_staged(first, "texts-that-share-an-id")
+        last = keyed.agg(F.max(node)).first()[0] or 0
+        names = several.select(node, digest).withColumn("_by", F.struct(node, digest))
+        numbered = staged(number_in_order(names, "_by", "n", last + 1).drop("_by"), "numbers-of-texts")
+        told = several.withColumnRenamed(node, "_id").withColumnRenamed(digest, "_of").join(
+            numbered, F.col("_id").eqNullSafe(F.col(node)) & (F.col("_of") == F.col(digest))
+        )
+        keyed = alone.unionByName(told.select(*(F.col("r")[c].alias(c) for c in others), F.col("n").alias(node)))
+    found = near_duplicates(keyed.select(node, text_col), id_col=node, text_col=text_col, **settings)
+    gone = compactly_staged(found.where(~F.col("kept")).select(F.col(node).alias("_gone")), "near-duplicate-rows")
+    return keyed.join(gone, F.col(node) == F.col("_gone"), "left_anti").drop(node)

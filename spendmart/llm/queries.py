@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendmart.llm import idfiles, importance, mixing, neardup, neighbours, packing, pages, pseudonyms, quality, repeats, secret_scan, vptree
+from spendmart.llm import hmm, idfiles, importance, mixing, neardup, neighbours, packing, pages, pseudonyms, quality, repeats, secret_scan, vptree
 from spendmart.llm.common import table
 from spendmart.llm.shipping import ship
 
@@ -235,6 +235,11 @@ FROM scored LEFT JOIN ranked USING (rid)
 """
 
 
+@query
+def op12_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.scored(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.clustered(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
