@@ -4,18 +4,15 @@ from __future__ import annotations
 
 import argparse
 
-from spendmart.operators.geo import rename_targets
-from spendmart.plans.dims import curate_target_file
+from spendmart.plans.dims import curated_slice
 from spendmart.schemas import GEO_FIRST_ROW, GEO_LAST_ROW
 from spendmart.session import get_session
 from spendmart.sinks.files import write_csv
-from spendmart.sources.files import read_csv
 
 
 def run(args: argparse.Namespace) -> None:
     spark = get_session("curate geo targets")
-    targets = curate_target_file(read_csv(spark, args.targets), args.first, args.last)
-    write_csv(rename_targets(targets) if args.rename else targets, args.out)
+    write_csv(curated_slice(spark, args.targets, args.first, args.last, rename=args.rename), args.out)
 
 
 def arguments() -> argparse.ArgumentParser:

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from jobs.common import add_database_arguments, database, lookup_table
-from spendmart.plans.fact import Lookups, build_fact
+from spendmart.functions.dates import date_id
+from spendmart.loads import seen_keys
+from spendmart.operators.shape import union_all
+from spendmart.plans.clean import JUDGED_LOADS, in_period, read_accepted
+from spendmart.plans.fact import Lookups, build_fact, load_fact
 from spendmart.schemas import (
     CHANNELS,
     DIM_CHANNEL_COLUMNS,
@@ -22,21 +26,35 @@ from spendmart.sources.files import read_clean
 from spendmart.sources.jdbc import append_table
 
 
+def clean_by_channel(spark, args: argparse.Namespace) -> dict[str, DataFrame]:
+    read = {}
+    for channel in args.channels:
+        path = f"{args.clean}/{channel_spec(channel).prefix}"
+        if args.layout == "loads":
+            read[channel] = read_accepted(spark, path, year=args.year, month=args.month)
+        else:
+            read[channel] = read_clean(spark, path, year=args.year, month=args.month, day_partition=args.day_partition)
+    return read
+
+
+def days_seen(spark, args: argparse.Namespace, channels: DataFrame) -> DataFrame:
+    """``channel_id, date_id`` of every day that the period's clean loads saw, with rows or without."""
+    days = []
+    for channel in args.channels:
+        keys = seen_keys(spark, f"{args.clean}/{channel_spec(channel).prefix}", JUDGED_LOADS, in_period(args.year, args.month))
+        day = date_id(F.col("year"), F.col("month"), F.col("day_of_month"))
+        days.append(keys.where("year is not null").select(F.lit(channel).alias("channel"), day.alias("date_id")))
+    return union_all(days).join(channels, "channel", "left").select("channel_id", "date_id")
+
+
 def run(args: argparse.Namespace) -> dict:
     db = database(args)
-    if db is None and args.mode == "overwrite" and set(args.channels) != set(CHANNELS):
-        raise SystemExit("overwrite replaces whole days: load all channels, or use --mode append")
+    partly = set(args.channels) != set(CHANNELS)
+    if db is None and args.layout == "days" and args.mode == "overwrite" and partly:
+        raise SystemExit("overwrite replaces whole days of all channels: load all, or use --layout loads")
+    if db is None and args.layout == "loads" and args.mode == "append":
+        raise SystemExit("loads replace the days they see; --mode append goes with --layout days")
     spark = get_session("load fact")
-    clean = {
-        channel: read_clean(
-            spark,
-            f"{args.clean}/{channel_spec(channel).prefix}",
-            year=args.year,
-            month=args.month,
-            day_partition=args.day_partition,
-        )
-        for channel in args.channels
-    }
     # The prefix of the days loaded; without a year there is none.
     period = ""
     if args.year is not None:
@@ -49,7 +67,7 @@ def run(args: argparse.Namespace) -> dict:
         allow_repeated_keys=args.allow_repeated_keys,
     )
     seen = Observation()
-    fact = build_fact(clean, lookups).observe(
+    fact = build_fact(clean_by_channel(spark, args), lookups).observe(
         seen,
         F.count("*").alias("rows"),
         F.count_if(F.col("country_id").isNull()).alias("no_country"),
@@ -58,6 +76,8 @@ def run(args: argparse.Namespace) -> dict:
     )
     if db is not None:
         append_table(fact, db, args.out, connections=args.db_connections)
+    elif args.layout == "loads":
+        load_fact(fact, args.out, seen=days_seen(spark, args, lookups.channels))
     else:
         write_fact(fact, args.out, mode=args.mode)
     print(seen.get)
@@ -74,7 +94,13 @@ def arguments() -> argparse.ArgumentParser:
     parser.add_argument("--channels", nargs="+", default=list(CHANNELS))
     parser.add_argument("--year", type=int)
     parser.add_argument("--month", type=int)
-    parser.add_argument("--day-partition", default="day_of_month")
+    parser.add_argument(
+        "--layout",
+        choices=["loads", "days"],
+        default="loads",
+        help="of the clean and the fact table: loads replaces the days and channels loaded, days whole days",
+    )
+    parser.add_argument("--day-partition", default="day_of_month", help="for --layout days")
     parser.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
     parser.add_argument(
         "--allow-repeated-keys",

@@ -37,13 +37,21 @@ def is_single_object(line: Column, record: Column) -> Column:
     )
 
 
-def get_or_default(line: Column, record: Column, key: str, default: str) -> Column:
-    """The key's text; ``default`` when the key is absent; null when its value is null.
+def keys_if_needed(line: Column, record: Column, fields: list[str]) -> Column:
+    """Names of the line's members, null where every field has a value.
 
-    A struct field is null in both of the last cases, so presence is read from a map parse of
-    the line. It sits behind the null test and costs nothing for records that have the key.
+    A struct field is null when its key is absent and when its value is null; the names tell the two
+    apart. They cost a second parse, once a line and only behind the null test.
     """
+    lacking = F.lit(False)
+    for field in fields:
+        lacking = lacking | record.getField(field).isNull()
+    members = F.from_json(line, T.MapType(T.StringType(), T.StringType()), JSON_OPTIONS)
+    return F.when(record.isNotNull() & lacking, F.map_keys(members))
+
+
+def get_or_default(keys: Column, record: Column, key: str, default: str) -> Column:
+    """The key's text; ``default`` when the key is absent; null when its value is null."""
     value = record.getField(key)
-    keys = F.from_json(line, T.MapType(T.StringType(), T.StringType()), JSON_OPTIONS)
-    absent = ~F.map_contains_key(keys, key)
+    absent = ~F.array_contains(keys, key)
     return F.when(value.isNotNull(), value).when(absent, F.lit(default))

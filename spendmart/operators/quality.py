@@ -15,6 +15,7 @@ from .shape import select_once
 MALFORMED = "malformed_json"
 INVALID_DAY = "invalid_day"
 INVALID_METRIC = "invalid_metric"
+ACCEPTED = "accepted"
 REASONS = (MALFORMED, INVALID_DAY, INVALID_METRIC)
 
 
@@ -40,17 +41,18 @@ def reject_reason() -> Column:
     )
 
 
-def validate(lines: DataFrame, spec: ChannelSpec) -> DataFrame:
-    """One row per line: ``currency, country, date, impressions, cost, reason``.
+def validate(lines: DataFrame, spec: ChannelSpec, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per line: ``currency, country, date, impressions, cost, reason``, and ``keep``.
 
     Country codes are not looked up here: no check depends on them, so the lookup can wait
     until the rejected rows are gone.
     """
-    parsed = parse_lines(lines, spec)
-    text = parsed.select("well_formed", *common_fields(spec))
-    typed = text.select("well_formed", "currency", "country", *typed_columns())
+    parsed = parse_lines(lines, spec, keep)
+    text = parsed.select("well_formed", *keep, *common_fields(spec))
+    typed = text.select("well_formed", *keep, "currency", "country", *typed_columns())
     return select_once(
         typed,
+        *keep,
         "currency",
         "country",
         "date",

@@ -4,19 +4,29 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import date_id
+from ..loads import Layout, read_loads, write_load
 from ..operators.lookup import join_channel, join_country, join_rates, sized_lookup
 from ..operators.shape import union_all
 from ..schemas import (
     DIM_CHANNEL_COLUMNS,
     DIM_COUNTRY_COLUMNS,
     EXCHANGE_RATE_COLUMNS,
+    FACT_SCHEMA,
 )
 from ..sources.files import project
 
+#: The fact table: folders by channel and month, replaced by channel and day.
+FACT_LOADS = Layout(
+    schema=T.StructType([*FACT_SCHEMA, T.StructField("month", T.StringType())]),
+    folders=("channel_id", "month"),
+    keys=("channel_id", "date_id"),
+)
+
 
 @dataclass(frozen=True)
 class Lookups:
@@ -103,3 +113,31 @@ def channel_row_counts(combined: DataFrame) -> DataFrame:
 def preview(rows: DataFrame, n: int, order: list[str]) -> DataFrame:
     """First ``n`` rows in a fixed order; each task keeps only its own first ``n``."""
     return rows.orderBy(*order).limit(n)
+
+
+def load_fact(
+    fact: DataFrame, path: str, *, seen: DataFrame | None = None, gather: bool = True, file_rows: int | None = None
+) -> str:
+    """Write fact rows as a load, which replaces the days of the channels it holds and no others.
+
+    ``seen`` (``channel_id, date_id``) are days to replace even if no row of them is left.
+    """
+    monthly = fact.withColumn("month", F.substring("date_id", 1, 6))
+    return write_load(monthly, path, FACT_LOADS, seen=seen, gather=gather, file_rows=file_rows)
+
+
+def days_between(first_day: str | None, last_day: str | None) -> Column:
+    """Days from ``first_day`` to ``last_day``, by folder and by day."""
+    wanted = F.lit(True)
+    if first_day is not None:
+        wanted = wanted & (F.col("month") >= first_day[:6]) & (F.col("date_id") >= first_day)
+    if last_day is not None:
+        wanted = wanted & (F.col("month") <= last_day[:6]) & (F.col("date_id") <= last_day)
+    return wanted
+
+
+def read_fact_loads(
+    spark: SparkSession, path: str, *, first_day: str | None = None, last_day: str | None = None
+) -> DataFrame:
+    """The fact table as last loaded. Only folders of the months wanted are named, and so listed."""
+    return read_loads(spark, path, FACT_LOADS, days_between(first_day, last_day)).select(*FACT_SCHEMA.names)

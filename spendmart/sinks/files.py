@@ -83,10 +83,12 @@ def write_fact(fact: DataFrame, path: str, *, mode: str = "overwrite", gather: b
     write_partitioned(fact, path, ("date_id",), mode=mode, gather=gather)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, *, file_rows: int | None = None) -> None:
     """Write CSV with a header to a path that does not exist yet, never over an input.
 
     Values keep their blanks. Those with line breaks are quoted; read them with ``multi_line``.
     """
     writer = df.write.option("header", True).option("escape", '"').mode("errorifexists")
+    if file_rows is not None:
+        writer = writer.option("maxRecordsPerFile", file_rows)
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)

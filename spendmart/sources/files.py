@@ -43,9 +43,32 @@ def dated_files(files: DataFrame) -> DataFrame:
     return named.where(parse_day(F.col("file_day")).isNotNull())
 
 
+def listed_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path, file_name, file_day, skipped`` of every ``.txt`` file below ``path``, listed once.
+
+    ``skipped`` says why a file's lines are not for loading: its name ends in no day (``no_day``) or
+    in one that doesn't exist (``no_such_day``). It is null for the others. No content is read; the
+    driver holds the list, as it does in any scan.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt")
+    name = F.element_at(F.split("path", "/"), -1)
+    files = listed.load(path).select("path", name.alias("file_name"), file_day(name).alias("file_day"))
+    why = F.when(F.col("file_day") == "", "no_day").when(parse_day(F.col("file_day")).isNull(), "no_such_day")
+    found = files.withColumn("skipped", why).orderBy("path").collect()
+    return spark.createDataFrame(found, "path string, file_name string, file_day string, skipped string")
+
+
+def read_listed_lines(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """``line, file_name`` of the files of ``listed_files`` that aren't skipped."""
+    paths = [row["path"] for row in files.where(F.col("skipped").isNull()).collect()]
+    if not paths:
+        return spark.createDataFrame([], "line string, file_name string")
+    return spark.read.text(paths).select(F.col("value").alias("line"), F.col("_metadata.file_name").alias("file_name"))
+
+
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     *,
     missing: str | None = None,
     header: bool = True,

@@ -163,7 +163,7 @@ def exports(tmp_path):
 
 def test_jobs_from_exports_to_fact(spark, exports):
     at = lambda name: str(exports / name)
-    loading = ["--raw", at("raw"), "--geo", at("geo.csv"), "--out", at("clean")]
+    loading = ["--raw", at("raw"), "--geo", at("geo.csv"), "--out", at("clean"), "--layout", "days"]
     for _ in range(2):
         counts = ingest.run(ingest.arguments().parse_args(loading))
     assert counts["facebook"] == {"lines": 6, "malformed_json": 2, "invalid_day": 1, "invalid_metric": 0}
@@ -175,6 +175,7 @@ def test_jobs_from_exports_to_fact(spark, exports):
     arguments = [
         "--clean", at("clean"), "--countries", at("dim_country"), "--rates", at("rates.csv"),
         "--channel-table", at("channels.csv"), "--out", at("fact"), "--year", "2024", "--month", "6",
+        "--layout", "days",
     ]
     for _ in range(2):
         seen = load_fact.run(load_fact.arguments().parse_args(arguments))

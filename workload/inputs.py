@@ -114,12 +114,39 @@ ENDED_LINE = """CASE flaw WHEN 'truncated' THEN substring(line, 1, length(line)
           ELSE line END"""
 
 
-def raw_lines(spark: SparkSession, sf_dir: str, channel: str) -> DataFrame:
-    """``line``: one JSON text per order of the channel, flaws included."""
+def lines_of(rows: DataFrame, channel: str) -> DataFrame:
+    """``line`` of rows as ``orders`` makes them, with their other columns."""
     line = F.expr(FACEBOOK_LINE if channel == "facebook" else GOOGLE_LINE)
     # Built once per order, as a file's lines would be.
-    lines = select_once(orders(spark, sf_dir, channel), "flaw", line.alias("line"))
-    return lines.select(F.expr(ENDED_LINE).alias("line"))
+    lines = select_once(rows, "key", "flaw", "day", line.alias("line"))
+    return lines.withColumn("line", F.expr(ENDED_LINE))
+
+
+def raw_lines(spark: SparkSession, sf_dir: str, channel: str) -> DataFrame:
+    """``line``: one JSON text per order of the channel, flaws included."""
+    return lines_of(orders(spark, sf_dir, channel), channel).select("line")
+
+
+def daily_lines(rows: DataFrame, channel: str) -> DataFrame:
+    """``line, file_name``: the lines of ``rows`` as they would lie in one file a day."""
+    name = F.concat(F.lit(f"raw_data_{channel}_"), F.col("day"), F.lit(".txt"))
+    return lines_of(rows, channel).select("line", name.alias("file_name"))
+
+
+def write_named_files(rows: DataFrame, root: str) -> None:
+    """Write ``line`` of ``rows`` to one text file for each ``file_name``, below ``root``.
+
+    Spark names its files itself, so they are written to folders by name and then renamed.
+    """
+    spark = rows.sparkSession
+    draft = f"{root}-draft"
+    rows.select("line", "file_name").repartition("file_name").write.partitionBy("file_name").text(draft)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(root))
+    for part in files.globStatus(path(f"{draft}/file_name=*/part-*")):
+        name = part.getPath().getParent().getName().removeprefix("file_name=")
+        files.rename(part.getPath(), path(f"{root}/{name}"))
 
 
 def code_map(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -161,6 +161,16 @@ _CLEAN_COLUMNS = "channel, currency, country, date_id, impressions, cost"
 _FACT_COLUMNS = "channel_id, date_id, country_id, impressions, cost_usd"
 
 
+_NUMBERS = """currency, {country} AS country, raw_day AS day,
+  CASE WHEN flaw = 'null_impressions' THEN NULL ELSE impressions END AS impressions,
+  CASE WHEN flaw IN ('comma_cost', 'suffix_cost', 'not_finite') THEN NULL
+       WHEN flaw = 'long_cost' THEN CAST(raw_cost AS DOUBLE)
+       WHEN flaw = 'no_cost' THEN {no_cost} ELSE price END AS cost,
+  {has_cost} AS has_cost"""
+_TEXT_CODE = "CASE WHEN flaw = 'no_country' THEN '' ELSE raw_country END"
+_VALID_DAY = "key % 9 > 4"
+
+
 def _select(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
@@ -169,7 +179,23 @@ ORACLE: dict[str, str] = {
     "scan_json_lines": _select(
         ORDERS, f"{_scan('facebook')} UNION ALL {_scan('google')}"
     ),
-    "json_lines_parse": _select(RAW, f"SELECT {_RAW_FIELDS} {_FACEBOOK}"),
+    "json_lines_parse": _select(
+        RAW,
+        f"""SELECT channel, {_NUMBERS.format(country="raw_country", no_cost="NULL", has_cost="flaw <> 'no_cost'")}
+FROM raw WHERE {_WELL_FORMED}""",
+    ),
+    "file_account": _select(
+        ORDERS,
+        """SELECT file_name, file_day, skipped, CASE WHEN skipped IS NULL THEN count(*) END AS n_lines FROM (
+  SELECT CASE WHEN key % 7 = 0 THEN 'raw_data_fb_' || substr(day, 1, 6) || '.txt'
+              WHEN key % 11 = 0 THEN 'raw_data_fb_' || substr(day, 1, 4) || '0231.txt'
+              WHEN key % 13 = 0 THEN 'raw_data_fb_' || substr(day, 1, 6) || '02.txt.txt'
+              ELSE 'raw_data_fb_' || substr(day, 1, 6) || '01.txt' END AS file_name,
+         CASE WHEN key % 7 = 0 THEN '' WHEN key % 11 = 0 THEN substr(day, 1, 4) || '0231'
+              WHEN key % 13 = 0 THEN substr(day, 1, 6) || '02' ELSE substr(day, 1, 6) || '01' END AS file_day,
+         CASE WHEN key % 7 = 0 THEN 'no_day' WHEN key % 11 = 0 THEN 'no_such_day' END AS skipped
+  FROM src) GROUP BY file_name, file_day, skipped""",
+    ),
     "file_date_filter": _select(
         ORDERS,
         """SELECT key, 'raw_data_fb_' || day || '.txt' AS file_name, day AS file_day FROM src
@@ -183,13 +209,39 @@ WHERE key % 7 <> 0 AND key % 11 <> 0 AND key % 13 <> 0""",
         CLEAN,
         f"SELECT {_CLEAN_COLUMNS} FROM clean WHERE year = 1998 AND month = 6",
     ),
+    "scan_merged": _select(
+        CLEAN,
+        """SELECT channel, currency, CASE WHEN year >= 1995 THEN country END AS country, day, impressions,
+  cost, year FROM clean""",
+    ),
     "scan_dims": _RATES,
     "partitioned_write_roundtrip": _select(CLEAN, f"SELECT {_CLEAN_COLUMNS} FROM clean"),
+    "quarantine": _select(
+        CLEAN,
+        f"""SELECT channel, 'accepted' AS reason, date_id, currency, country, impressions, cost,
+  NULL AS file_name, NULL AS n_chars FROM clean
+UNION ALL
+SELECT channel, reason, day, NULL, NULL, NULL, NULL, 'raw_data_' || channel || '_' || day || '.txt',
+  CASE channel WHEN 'facebook' THEN {_line_chars("facebook")} ELSE {_line_chars("google")} END
+FROM raw WHERE reason IS NOT NULL""",
+    ),
+    "clean_reload": _select(CLEAN, f"SELECT {_CLEAN_COLUMNS} FROM clean WHERE NOT (year = 1998 AND month = 6)"),
+    "fact_reload": _select(
+        FACT,
+        """SELECT channel_id, date_id, country_id, impressions,
+  CASE WHEN channel_id = 2 AND date_id BETWEEN '19980601' AND '19980630' THEN cost_usd * 0.5::double
+       ELSE cost_usd END AS cost_usd
+FROM fact WHERE NOT (channel_id = 2 AND date_id = '19980615')""",
+    ),
     "fact_write_roundtrip": _select(FACT, f"SELECT {_FACT_COLUMNS} FROM fact"),
     "fact_period": _select(
         FACT, f"SELECT {_FACT_COLUMNS} FROM fact WHERE date_id BETWEEN '19980601' AND '19980630'"
     ),
-    "records_per_file": _select(CLEAN, f"SELECT {_CLEAN_COLUMNS} FROM clean"),
+    "records_per_file": _select(
+        CLEAN,
+        """SELECT channel, year, count(*) AS n_rows, CAST(ceil(count(*) / 400.0) AS BIGINT) AS n_files,
+  least(count(*), 400) AS largest FROM clean GROUP BY channel, year""",
+    ),
     "geo_csv_roundtrip": _select(
         TARGETS,
         f"SELECT CAST(criteria_id AS VARCHAR) AS criteria_id, country_code, name {_CURATED}",
@@ -216,7 +268,9 @@ WHERE key % 7 <> 0 AND key % 11 <> 0 AND key % 13 <> 0""",
         TARGETS, f"SELECT country_code AS country, name AS country_name {_CURATED}"
     ),
     "drop_invalid_day": _select(
-        RAW, f"SELECT {_TEXT_FIELDS} {_FACEBOOK} AND flaw <> 'impossible_day'"
+        RAW,
+        f"""SELECT channel, {_NUMBERS.format(country="country", no_cost="0.0::double", has_cost="true")}
+FROM raw WHERE {_WELL_FORMED} AND flaw <> 'impossible_day'""",
     ),
     "drop_invalid_metrics": _select(
         RAW,
@@ -231,6 +285,14 @@ FROM raw WHERE {_WELL_FORMED} AND (reason IS NULL OR reason <> 'invalid_metric')
   SELECT c_custkey + 100000 AS criteria_id, c_name || ', ' || c_mktsegment AS name,
          row_number() OVER (ORDER BY c_custkey) AS position FROM customer)
 WHERE position BETWEEN 300 AND 1100""",
+    "file_order_slice": """SELECT row_number() OVER (ORDER BY c_custkey) AS row, c_custkey + 100000 AS criteria_id,
+  c_name || ', ' || c_mktsegment AS name FROM customer QUALIFY row BETWEEN 300 AND 1100""",
+    "geo_slice_rename": _select(
+        TARGETS,
+        f"""SELECT country_code AS country, name AS country_name FROM (
+  SELECT *, row_number() OVER (ORDER BY criteria_id) AS position FROM targets)
+{_CURATED.removeprefix("FROM targets")} AND position BETWEEN 300 AND 1100""",
+    ),
     "geo_lookup_default": _select(
         ORDERS,
         f"""SELECT key, CASE WHEN flaw = 'null_country' OR country_no >= {MAPPED_NATIONS}
@@ -279,20 +341,28 @@ ORDER BY date_id, currency, country NULLS FIRST, impressions, cost, channel LIMI
     "union_channels": _select(CLEAN, f"SELECT {_CLEAN_COLUMNS} FROM clean"),
     "json_get_default": _select(
         RAW,
-        f"""SELECT raw_day AS day, country, raw_impressions AS impressions,
-  coalesce(raw_cost, '0.0') AS cost {_FACEBOOK}""",
+        f"""SELECT channel, {_NUMBERS.format(country=_TEXT_CODE, no_cost="0.0::double", has_cost="true")}
+FROM raw WHERE {_WELL_FORMED}""",
     ),
     "string_fns": _select(
         ORDERS,
-        """SELECT key, 'raw_data_' || day || '.txt' AS stripped, true AS is_txt,
-  day AS last_part, currency AS currency_text FROM src""",
+        """SELECT key, 'raw data_' || day || suffix AS stripped, key % 5 > 1 AS is_txt,
+  CASE WHEN key % 5 > 1 THEN day ELSE '' END AS last_part, CAST(shown AS VARCHAR) AS impressions_text
+FROM (SELECT *, CASE key % 5 WHEN 0 THEN '.csv' WHEN 1 THEN '.TXT' WHEN 2 THEN '.txt.txt' ELSE '.txt' END AS suffix
+      FROM src)""",
     ),
     "date_parts": _select(
         ORDERS,
-        """SELECT key, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
-  CAST(day(date) AS INTEGER) AS day_of_month FROM src""",
+        f"""SELECT key, CASE WHEN {_VALID_DAY} THEN CAST(year(date) AS INTEGER) END AS year,
+  CASE WHEN {_VALID_DAY} THEN CAST(month(date) AS INTEGER) END AS month,
+  CASE WHEN {_VALID_DAY} THEN CAST(day(date) AS INTEGER) END AS day_of_month FROM src""",
+    ),
+    "date_format": _select(
+        ORDERS,
+        f"""SELECT key, CASE WHEN {_VALID_DAY} THEN day END AS day,
+  CASE WHEN {_VALID_DAY} THEN strftime(date - 1, '%Y%m%d') END AS day_before,
+  CASE WHEN {_VALID_DAY} THEN strftime(date + 1, '%Y%m%d') END AS day_after FROM src""",
     ),
-    "date_format": _select(ORDERS, "SELECT key, day FROM src"),
     "safe_numeric": _select(
         ORDERS,
         """SELECT key,
@@ -314,6 +384,10 @@ FROM clean""",
     ),
     "dim_country_build": """SELECT CAST(row_number() OVER (ORDER BY c_name) AS INTEGER) AS country_id,
   c_name AS country, 'The "' || c_mktsegment || '", one' AS country_name FROM customer""",
+    "dim_country_growth": """SELECT CAST(CASE WHEN c_mktsegment = 'BUILDING' THEN r ELSE r + n END AS INTEGER) AS country_id,
+  c_name AS country, lower(c_mktsegment) AS country_name FROM (
+  SELECT *, row_number() OVER (PARTITION BY c_mktsegment = 'BUILDING' ORDER BY c_name) AS r,
+         count(*) FILTER (WHERE c_mktsegment = 'BUILDING') OVER () AS n FROM customer)""",
     "fact_ad_performance": _select(FACT, f"SELECT {_FACT_COLUMNS} FROM fact"),
     "rollup_channel_day": _select(
         FACT,

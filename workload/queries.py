@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spendmart.functions import dates, numbers, text
+from spendmart.loads import write_load
 from spendmart.operators import geo, lookup, normalize, numbering, quality
 from spendmart.operators.shape import select_once
 from spendmart.plans import clean as clean_plan
@@ -15,6 +17,8 @@ from spendmart.plans import dims, fact, rollups
 from spendmart.schemas import CHANNELS, EXCHANGE_RATE_COLUMNS
 from spendmart.sinks import files as sinks
 from spendmart.sources import files as sources
+from spendmart.sources.merged import read_merged
+from spendmart.sources.slices import file_row_range
 from spendmart.staging import new_path
 
 from . import inputs
@@ -22,6 +26,7 @@ from . import inputs
 FACEBOOK = CHANNELS["facebook"]
 GOOGLE = CHANNELS["google"]
 SLICE = (300, 1100)
+FILE_ROWS = 400
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,6 +66,30 @@ def both(by_channel: dict[str, DataFrame]) -> DataFrame:
     return tagged[0].unionByName(tagged[1])
 
 
+def as_numbers(rows: DataFrame) -> DataFrame:
+    """Metrics as numbers, and whether a cost was there: JSON numbers of the feeds reach text
+    columns in the parser's spelling."""
+    return rows.select(
+        "currency",
+        "country",
+        "day",
+        numbers.parse_long(F.col("impressions")).alias("impressions"),
+        numbers.parse_double(F.col("cost")).alias("cost"),
+        F.col("cost").isNotNull().alias("has_cost"),
+    )
+
+
+def load_lines(spark: SparkSession, sf: str) -> dict[str, str]:
+    """Every channel's lines as one load; the channels' paths."""
+    root, codes = new_path(spark, "judged"), inputs.code_map(spark, sf)
+    paths = {}
+    for name, spec in CHANNELS.items():
+        paths[name] = f"{root}/{spec.prefix}"
+        lines = inputs.daily_lines(inputs.orders(spark, sf, name), name)
+        write_load(clean_plan.judged_rows(lines, spec, codes), paths[name], clean_plan.JUDGED_LOADS)
+    return paths
+
+
 # --- sources and sinks ------------------------------------------------------
 
 
@@ -86,7 +115,11 @@ def scan_json_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def json_lines_parse(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.raw_fields(inputs.raw_lines(spark, sf, "facebook"), FACEBOOK)
+    """The raw values of well-formed lines, no defaults."""
+    rows = {
+        name: quality.raw_fields(inputs.raw_lines(spark, sf, name), spec) for name, spec in CHANNELS.items()
+    }
+    return both({name: as_numbers(r) for name, r in rows.items()})
 
 
 @query
@@ -103,6 +136,25 @@ def file_date_filter(spark: SparkSession, sf: str) -> DataFrame:
     return sources.dated_files(files)
 
 
+@query
+def file_account(spark: SparkSession, sf: str) -> DataFrame:
+    """Real files, some without a day, with an impossible one or a doubled suffix: which are read,
+    which are skipped and why, and how many lines were read. One listing serves both."""
+    key, month = F.col("key"), F.substring("day", 1, 6)
+    name = (
+        F.when(key % 7 == 0, F.concat(F.lit("raw_data_fb_"), month, F.lit(".txt")))
+        .when(key % 11 == 0, F.concat(F.lit("raw_data_fb_"), F.substring("day", 1, 4), F.lit("0231.txt")))
+        .when(key % 13 == 0, F.concat(F.lit("raw_data_fb_"), month, F.lit("02.txt.txt")))
+        .otherwise(F.concat(F.lit("raw_data_fb_"), month, F.lit("01.txt")))
+    )
+    path = new_path(spark, "named-files")
+    lines = F.concat(F.col("key").cast("string"), F.lit(" "), F.col("currency"))
+    inputs.write_named_files(inputs.orders(spark, sf).select(lines.alias("line"), name.alias("file_name")), path)
+    files = sources.listed_files(spark, path)
+    read = sources.read_listed_lines(spark, files).groupBy("file_name").agg(F.count("*").alias("n_lines"))
+    return files.drop("path").join(read, "file_name", "left")
+
+
 @query
 def scan_geo_map(spark: SparkSession, sf: str) -> DataFrame:
     """A code map written as CSV and read back; ``NA`` must stay a country."""
@@ -120,14 +172,20 @@ def scan_geo_map(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def scan_partitioned(spark: SparkSession, sf: str) -> DataFrame:
-    """One month of the partitioned clean table; other folders are not read."""
-    root = new_path(spark, "clean")
-    read = {}
-    for name, clean in clean_by_channel(spark, sf).items():
-        path = f"{root}/{CHANNELS[name].prefix}"
-        sinks.write_clean(clean, path)
-        read[name] = sources.read_clean(spark, path, year=1998, month=6)
-    return both(read)
+    """One month of the stored clean lines; other folders are neither listed nor read."""
+    paths = load_lines(spark, sf)
+    return both({name: clean_plan.read_accepted(spark, path, year=1998, month=6) for name, path in paths.items()})
+
+
+@query
+def scan_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Years stored without a country and with narrow impressions, and later ones with both wide."""
+    path = new_path(spark, "clean-by-year")
+    rows = clean_ads(spark, sf).drop("day_of_month", "month")
+    early = rows.where("year < 1995").withColumn("impressions", F.col("impressions").cast("int")).drop("country")
+    sinks.write_partitioned(early, path, ("year",), mode="append")
+    sinks.write_partitioned(rows.where("year >= 1995"), path, ("year",), mode="append")
+    return read_merged(spark, path, partitions=T.StructType([T.StructField("year", T.IntegerType())]))
 
 
 @query
@@ -139,41 +197,69 @@ def scan_dims(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def partitioned_write_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    root = new_path(spark, "clean")
-    read = {}
-    for name, clean in clean_by_channel(spark, sf).items():
-        path = f"{root}/{CHANNELS[name].prefix}"
-        sinks.write_clean(clean, path)
-        read[name] = sources.read_clean(spark, path)
-    return fact.combine_channels(read)
+    paths = load_lines(spark, sf)
+    return both({name: clean_plan.read_accepted(spark, path) for name, path in paths.items()})
+
+
+@query
+def quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line once: accepted ones with their fields, rejected ones with reason, file and length."""
+    judged = {}
+    for name, path in load_lines(spark, sf).items():
+        good = clean_plan.read_accepted(spark, path).withColumn("reason", F.lit(quality.ACCEPTED))
+        bad = clean_plan.read_rejected(spark, path)
+        day = dates.date_id(F.col("year"), F.col("month"), F.col("day_of_month"))
+        bad = bad.select("reason", day.alias("date_id"), "file_name", F.length("line").alias("n_chars"))
+        judged[name] = good.unionByName(bad, allowMissingColumns=True)
+    return both(judged)
+
+
+@query
+def clean_reload(spark: SparkSession, sf: str) -> DataFrame:
+    """June 1998 comes again with no valid cost: its days are empty, the others as before."""
+    paths, codes = load_lines(spark, sf), inputs.code_map(spark, sf)
+    for name, path in paths.items():
+        june = inputs.orders(spark, sf, name).where(F.col("day").startswith("199806"))
+        lines = inputs.daily_lines(june.withColumn("flaw", F.lit("comma_cost")), name)
+        write_load(clean_plan.judged_rows(lines, CHANNELS[name], codes), path, clean_plan.JUDGED_LOADS)
+    return both({name: clean_plan.read_accepted(spark, path) for name, path in paths.items()})
 
 
 @query
 def fact_write_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = new_path(spark, "fact")
-    rows = facts(spark, sf)
-    sinks.write_fact(rows, path)
-    return sources.read_fact(spark, path)
+    fact.load_fact(facts(spark, sf), path)
+    return fact.read_fact_loads(spark, path)
+
+
+@query
+def fact_reload(spark: SparkSession, sf: str) -> DataFrame:
+    """Google's June 1998 comes again at half the cost and without its 15th; Facebook's stays."""
+    path = new_path(spark, "fact")
+    fact.load_fact(facts(spark, sf), path)
+    june = fact.read_fact_loads(spark, path, first_day="19980601", last_day="19980630").where("channel_id = 2")
+    halved = june.where("date_id <> '19980615'").withColumn("cost_usd", F.col("cost_usd") * 0.5)
+    fact.load_fact(halved, path, seen=june.select("channel_id", "date_id"))
+    return fact.read_fact_loads(spark, path)
 
 
 @query
 def fact_period(spark: SparkSession, sf: str) -> DataFrame:
-    """One month of the stored fact table; other days' folders are not read."""
+    """One month of the stored fact table; other months' folders are not listed."""
     path = new_path(spark, "fact")
-    sinks.write_fact(facts(spark, sf), path)
-    return sources.read_fact(spark, path, first_day="19980601", last_day="19980630")
+    fact.load_fact(facts(spark, sf), path)
+    return fact.read_fact_loads(spark, path, first_day="19980601", last_day="19980630")
 
 
 @query
 def records_per_file(spark: SparkSession, sf: str) -> DataFrame:
-    """Clean rows written with at most 5 rows a file and read back."""
-    root = new_path(spark, "clean")
-    read = {}
-    for name, clean in clean_by_channel(spark, sf).items():
-        path = f"{root}/{CHANNELS[name].prefix}"
-        sinks.write_clean(clean, path, file_rows=5)
-        read[name] = sources.read_clean(spark, path)
-    return both(read)
+    """Clean rows by channel and year with a limit of rows a file: files, and the largest one's rows."""
+    path = new_path(spark, "clean")
+    sinks.write_partitioned(clean_ads(spark, sf), path, ("channel", "year"), file_rows=FILE_ROWS)
+    rows = spark.read.parquet(path).groupBy("channel", "year", F.col("_metadata.file_path")).count()
+    return rows.groupBy("channel", "year").agg(
+        F.sum("count").alias("n_rows"), F.count("*").alias("n_files"), F.max("count").alias("largest")
+    )
 
 
 @query
@@ -232,13 +318,23 @@ def geo_rename(spark: SparkSession, sf: str) -> DataFrame:
     return geo.rename_targets(geo.curate_targets(inputs.geo_targets(spark, sf)))
 
 
+@query
+def geo_slice_rename(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole curation: a range of the file's rows, filtered, projected and renamed."""
+    return dims.curated_slice(spark, write_targets(spark, sf), *SLICE, rename=True)
+
+
 # --- filters ----------------------------------------------------------------
 
 
 @query
 def drop_invalid_day(spark: SparkSession, sf: str) -> DataFrame:
-    rows = normalize.normalize(inputs.raw_lines(spark, sf, "facebook"), FACEBOOK)
-    return quality.drop_invalid_day(rows)
+    codes = inputs.code_map(spark, sf)
+    rows = {
+        name: quality.drop_invalid_day(normalize.normalize(inputs.raw_lines(spark, sf, name), spec, codes))
+        for name, spec in CHANNELS.items()
+    }
+    return both({name: as_numbers(r) for name, r in rows.items()})
 
 
 @query
@@ -266,6 +362,21 @@ def row_range_slice(spark: SparkSession, sf: str) -> DataFrame:
     return numbering.rows_in_order(targets, ["criteria_id"], *SLICE)
 
 
+def write_targets(spark: SparkSession, sf: str) -> str:
+    """The targets as CSV in key order, in files of 200 rows."""
+    path = new_path(spark, "targets")
+    ordered = inputs.geo_targets(spark, sf).orderBy(F.col("Criteria ID").cast("bigint"))
+    sinks.write_csv(ordered, path, file_rows=200)
+    return path
+
+
+@query
+def file_order_slice(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows 300 to 1100 as they lie in the files; files behind them are not read."""
+    rows = file_row_range(spark, write_targets(spark, sf), *SLICE, name="row")
+    return rows.select("row", F.col("Criteria ID").cast("bigint").alias("criteria_id"), F.col("Name").alias("name"))
+
+
 # --- joins ------------------------------------------------------------------
 
 
@@ -365,40 +476,62 @@ def union_channels(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def json_get_default(spark: SparkSession, sf: str) -> DataFrame:
-    """Absent cost becomes 0.0, null impressions stay null."""
-    parsed = normalize.parse_lines(inputs.raw_lines(spark, sf, "facebook"), FACEBOOK)
-    fields = normalize.common_fields(FACEBOOK)
-    rows = select_once(parsed, "well_formed", *fields).where("well_formed")
-    return rows.select("day", "country", "impressions", "cost")
+    """Absent cost becomes 0.0 and absent country empty text; null impressions stay null."""
+    rows = {}
+    for name, spec in CHANNELS.items():
+        parsed = normalize.parse_lines(inputs.raw_lines(spark, sf, name), spec)
+        fields = select_once(parsed, "well_formed", *normalize.common_fields(spec))
+        rows[name] = as_numbers(fields.where("well_formed"))
+    return both(rows)
 
 
 @query
 def string_fns(spark: SparkSession, sf: str) -> DataFrame:
-    name = F.concat(F.lit("  "), F.lit("raw_data_"), F.col("day"), F.lit(".txt "))
+    """File names with blanks of several kinds around them, other suffixes and doubled ones."""
+    key = F.col("key")
+    suffix = F.when(key % 5 == 0, ".csv").when(key % 5 == 1, ".TXT").when(key % 5 == 2, ".txt.txt").otherwise(".txt")
+    name = F.concat(F.lit(" \t"), F.lit("raw data_"), F.col("day"), suffix, F.lit("\v \r\n"))
     return inputs.orders(spark, sf).select(
         "key",
         text.stripped(name).alias("stripped"),
         text.stripped(name).endswith(".txt").alias("is_txt"),
         text.file_day(text.stripped(name)).alias("last_part"),
-        F.col("currency").cast("string").alias("currency_text"),
+        F.col("impressions").cast("string").alias("impressions_text"),
     )
 
 
+def spelled_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Days of which some don't exist, have marks, blanks or too few digits, or lie out of range."""
+    key, day = F.col("key"), F.col("day")
+    spelled = (
+        F.when(key % 9 == 0, "20240631")
+        .when(key % 9 == 1, F.concat_ws("-", F.substring(day, 1, 4), F.substring(day, 5, 2), F.substring(day, 7, 2)))
+        .when(key % 9 == 2, F.concat(day, F.lit(" ")))
+        .when(key % 9 == 3, F.substring(day, 1, 7))
+        .when(key % 9 == 4, F.concat(F.lit("3"), F.substring(day, 2, 7)))
+        .otherwise(day)
+    )
+    return inputs.orders(spark, sf).select("key", dates.parse_day(spelled).alias("date"))
+
+
 @query
 def date_parts(spark: SparkSession, sf: str) -> DataFrame:
-    date = dates.parse_day(F.col("day"))
-    return inputs.orders(spark, sf).select(
+    return spelled_days(spark, sf).select(
         "key",
-        F.year(date).alias("year"),
-        F.month(date).alias("month"),
-        F.dayofmonth(date).alias("day_of_month"),
+        F.year("date").alias("year"),
+        F.month("date").alias("month"),
+        F.dayofmonth("date").alias("day_of_month"),
     )
 
 
 @query
 def date_format(spark: SparkSession, sf: str) -> DataFrame:
-    return inputs.orders(spark, sf).select(
-        "key", dates.day_text(dates.parse_day(F.col("day"))).alias("day")
+    """Days as text again, and the days before and after them."""
+    return spelled_days(spark, sf).select(
+        "key",
+        dates.day_text(F.col("date")).alias("day"),
+        dates.day_text(F.date_sub("date", 1)).alias("day_before"),
+        dates.day_text(F.date_add("date", 1)).alias("day_after"),
     )
 
 
@@ -467,6 +600,18 @@ def dim_country_build(spark: SparkSession, sf: str) -> DataFrame:
     return dims.build_dim_country(sources.read_csv(spark, path))
 
 
+@query
+def dim_country_growth(spark: SparkSession, sf: str) -> DataFrame:
+    """One segment's countries, then all of them: the first keep their ids."""
+    path = new_path(spark, "dim_country")
+    names = inputs.table(spark, sf, "customer").select(
+        F.col("c_name").alias("country"), F.lower("c_mktsegment").alias("country_name"), "c_mktsegment"
+    )
+    dims.grow_dim_country(names.where("c_mktsegment = 'BUILDING'"), path)
+    dims.grow_dim_country(names, path)
+    return spark.read.parquet(path)
+
+
 @query
 def fact_ad_performance(spark: SparkSession, sf: str) -> DataFrame:
     return facts(spark, sf)
