@@ -381,7 +381,7 @@ def scored(
     held_fold: int = 2,
     states: int = 8,
     rounds: int = 5,
-    smooth: float = 200.0,
+    smooth: float = 5000.0,
     seed: int = 12,
 ) -> DataFrame:
     """One row per row of ``docs``: id, held_out, n_tokens, n_known, train_tokens, base_score, score.

@@ -345,22 +345,32 @@ def without_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col
     digest = free_name(docs, "_digest")
     keyed = docs.withColumn(node, id_)
     repeated = staged(docs.groupBy(id_.alias("id")).agg(F.count("*").alias("n")).where("n > 1 or id is null"), "repeated-ids")
+    several = None
     if not repeated.isEmpty():
         shared = F.broadcast(repeated) if repeated.count() < 1 << 16 else repeated
         alone = keyed.join(shared, keyed[node].eqNullSafe(F.col("id")), "left_anti")
         several = keyed.join(shared, keyed[node].eqNullSafe(F.col("id")), "left_semi")
         several = several.withColumn(digest, F.coalesce(F.md5(F.col(text_col).cast("string").cast("binary")), F.lit("")))
-        others = [c for c in docs.columns]
-        plain = [c for c, kind in docs.dtypes if "map<" not in kind]
+        others, plain = docs.columns, [c for c, kind in docs.dtypes if "map<" not in kind]
         first = several.groupBy(node, digest).agg(F.min_by(F.struct(*others), F.struct(*plain)).alias("r"))
         several = compactly_staged(first, "texts-that-share-an-id")
-        last = keyed.agg(F.max(node)).first()[0] or 0
+        least, last = keyed.agg(F.min(node), F.max(node)).first()
+        # beyond the largest id, or below the smallest where no numbers are left
+        first_number = (last or 0) + 1 if (last or 0) < 1 << 62 else least - several.count()
         names = several.select(node, digest).withColumn("_by", F.struct(node, digest))
-        numbered = staged(number_in_order(names, "_by", "n", last + 1).drop("_by"), "numbers-of-texts")
+        numbered = staged(number_in_order(names, "_by", "n", first_number).drop("_by"), "numbers-of-texts")
         told = several.withColumnRenamed(node, "_id").withColumnRenamed(digest, "_of").join(
             numbered, F.col("_id").eqNullSafe(F.col(node)) & (F.col("_of") == F.col(digest))
         )
         keyed = alone.unionByName(told.select(*(F.col("r")[c].alias(c) for c in others), F.col("n").alias(node)))
     found = near_duplicates(keyed.select(node, text_col), id_col=node, text_col=text_col, **settings)
+    if several is not None:
+        # the smallest id of a group counts, not the smallest number; a number without an id comes last
+        ids = numbered.select(F.col("n").alias(node), F.col(node).alias("_id"), F.lit(True).alias("_told"))
+        at = staged(found.select(node, "component_id"), "rows-of-groups").join(ids, node, "left")
+        rank = F.struct(F.coalesce(F.col("_told") & F.col("_id").isNull(), F.lit(False)).alias("none"), F.coalesce("_id", node).alias("id"), F.col(node).alias("n"))
+        at = at.withColumn("_rank", rank)
+        first = at.groupBy("component_id").agg(F.min("_rank")["n"].alias("_first"))
+        found = at.join(first, "component_id").withColumn("kept", F.col(node) == F.col("_first"))
     gone = compactly_staged(found.where(~F.col("kept")).select(F.col(node).alias("_gone")), "near-duplicate-rows")
     return keyed.join(gone, F.col(node) == F.col("_gone"), "left_anti").drop(node)
