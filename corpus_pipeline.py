@@ -14,8 +14,9 @@ from spendmart.llm.common import compactly_staged, free_name, table
 from spendmart.llm.queries import SAMPLE_KEY
 from spendmart.llm.shipping import ship
 
-#: How often the smaller sources may repeat in the mixture.
-MAX_REPEATS = 1.25
+#: Session setting with the key of the pseudonyms, which whoever holds it can invert. Without it the
+#: key of the samples is used, which is public.
+KEY_SETTING = "spark.spendmart.pseudonymKey"
 #: Words a tokenizing worker remembers during a task. Other stages run in the same workers.
 WORD_MEMORY = 150_000
 
@@ -33,27 +34,22 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id.
 
-    Rows that repeat an id count as one document, whose first row by text stays. Rows without an id
-    can't be linked and stay.
+    Rows are linked, not ids: only a row whose own text is confirmed goes.
     """
     ship(spark)
-    found = neardup.near_duplicates(docs.select("doc_id", "text")).where("doc_id is not null")
-    gone = found.groupBy(F.col("doc_id").alias("_gone_id")).agg(F.bool_and("kept").alias("_kept"), F.count("*").alias("_rows"))
-    gone = compactly_staged(gone.where("not _kept or _rows > 1"), "near-duplicate-ids")
-    single = docs.join(gone.select("_gone_id"), F.col("doc_id") == F.col("_gone_id"), "left_anti")
-    repeated = docs.join(gone.where("_kept").select("_gone_id"), F.col("doc_id") == F.col("_gone_id"), "left_semi")
-    return single.unionAll(repeated.groupBy("doc_id").agg(F.min(F.struct(F.col("text"), *(c for c in docs.columns if c != "text"))).alias("r")).select(*(F.col("r")[c].alias(c) for c in docs.columns)))
+    return neardup.without_near_duplicates(docs)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return pseudonyms.with_pseudonyms(docs, SAMPLE_KEY).withColumn("n_chars", F.length("text").cast("bigint"))
+    key = spark.conf.get(KEY_SETTING, None)
+    return pseudonyms.with_pseudonyms(docs, key.encode() if key else SAMPLE_KEY).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     name = free_name(docs, "mix")
-    return mixing.mix(docs, name=name, max_repeats=MAX_REPEATS).drop(name)
+    return mixing.mix(docs, name=name).drop(name)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
