@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,6 +15,9 @@ from spendmart.staging import new_path
 #: ASCII white space: what separates words throughout this package.
 SPACES = b" \t\n\v\f\r"
 
+_SPACE = re.compile(rb"[ \t-\r]")
+#: Bytes whose words are named at once.
+SLICE = 4 << 20
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
 #: One random 64-bit value per byte, and an odd multiplier: the polynomial name of a word.
@@ -65,26 +69,40 @@ class Words:
         self.data = b"\n".join(texts) + b"\n"
         if lower:
             self.data = self.data.lower()  # bytes.lower() changes A-Z only
-        raw = np.frombuffer(self.data, np.uint8)
+        parts = [self._slice(a, b) for a, b in self._slices()]
+        self.starts, self.ends, self.names = (np.concatenate(x) if len(parts) > 1 else x[0] for x in zip(*parts))
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        self.bounds = np.searchsorted(self.starts, begins)
+
+    def _slices(self) -> Iterator[tuple[int, int]]:
+        """Bounds of some megabytes each, behind a space: the arrays below are many times as large."""
+        at = 0
+        while len(self.data) - at > SLICE:
+            cut = _SPACE.search(self.data, at + SLICE).end()  # type: ignore[union-attr]  # the data end in a space
+            yield at, cut
+            at = cut
+        if at < len(self.data):
+            yield at, len(self.data)
+
+    def _slice(self, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the words of a slice start and end, and their names."""
+        raw = np.frombuffer(self.data, np.uint8)[a:b]
         space = _IS_SPACE[raw]
         edge = np.empty(len(raw), bool)
         edge[0] = not space[0]
         np.greater(space[:-1], space[1:], out=edge[1:])
-        self.starts = np.flatnonzero(edge)
-        self.ends = np.flatnonzero(~space[:-1] & space[1:]) + 1
-        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
-        self.bounds = np.searchsorted(self.starts, begins)
-        if not len(self.starts):
-            self.names = np.zeros(0, np.uint64)
-            return
-        length = self.ends - self.starts
-        first = self.starts[0]
-        gap = np.diff(np.append(self.starts, len(raw)))
-        place = np.arange(first, len(raw)) - np.repeat(self.starts, gap)
+        starts = np.flatnonzero(edge)
+        ends = np.flatnonzero(~space[:-1] & space[1:]) + 1
+        if not len(starts):
+            return starts, ends, np.zeros(0, np.uint64)
+        first = starts[0]
+        gap = np.diff(np.append(starts, len(raw)))
+        place = np.arange(first, len(raw)) - np.repeat(starts, gap)
         value = _BYTE[raw[first:]]
         value[space[first:]] = 0
         value *= _powers(int(gap.max()))[place]
-        self.names = mixed(np.add.reduceat(value, self.starts - first) ^ length.astype(np.uint64))
+        names = mixed(np.add.reduceat(value, starts - first) ^ (ends - starts).astype(np.uint64))
+        return starts + a, ends + a, names
 
 
 def joined_names(names: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
