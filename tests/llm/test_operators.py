@@ -245,6 +245,58 @@ def test_windows_follow_the_targets():
         assert list(end - first) == [25, 75] and list(place) == [100 * k, 100 * k + 25]
     carried = packing.Rounds([1000, 1000, 1000], [1 / 3] * 3, 100)
     assert all(abs(carried.served(k)[0] - 100 * k / 3) <= 1 for k in range(30)) and carried.served(40)[0] == 1000
+    # in turns of 64 tokens what isn't due yet is carried on
+    turns = packing.Rounds([10_000, 90_000], [0.1, 0.9], 1000, 64)
+    for k in range(100):
+        assert 0 <= 100 * k - turns.served(k)[0] < 64 and turns.served(k)[0] % 64 == 0
+
+
+def test_a_small_source_beside_a_vast_one():
+    lengths = [10**12, 1000]
+    rounds = packing.Rounds(lengths, [n / sum(lengths) for n in lengths], 65_536, 64)
+    pieces = list(packing._cut(rounds, 1, 0, 1000, 1024))
+    assert sum(p[1] for p in pieces) == 1000 and len(pieces) <= 2 * 16
+    # spread over the whole stream, in order
+    places = [p[2] * 1024 + p[3] for p in pieces]
+    assert places == sorted(places) and places[0] < 10**11 and places[-1] > 9 * 10**11
+    late = list(packing._cut(rounds, 0, 10**12 - 5000, 5000, 1024))
+    assert sum(p[1] for p in late) == 5000
+    assert max(p[2] * 1024 + p[3] + p[1] for p in late + pieces) <= 10**12 + 1000
+    # a source that was given nothing comes last, in few steps
+    nothing = packing.Rounds([10**13, 500], [1.0, 0.0], 65_536, 64)
+    assert sum(p[1] for p in packing._cut(nothing, 1, 0, 500, 1024)) == 500
+
+
+def gapless(got):
+    ordered = got.sort_values(["sequence_id", "offset"])
+    place = ordered["sequence_id"] * 1024 + ordered["offset"]
+    return (place == ordered["length"].cumsum() - ordered["length"]).all()
+
+
+@pytest.mark.parametrize("queues", [4096, 300, 2])
+def test_thousands_of_sources_keep_their_proportions(shipped, queues):
+    n = 5000 if queues == 4096 else 1000
+    rows = [(i, f"s{i % n}", "word " * (200 if i % n == 0 else 4)) for i in range(4 * n)]
+    docs = shipped.createDataFrame(rows, "doc_id bigint, source string, text string")
+    got = packing.pack(docs, window=8192, turn=8, queues=queues).toPandas()
+    assert gapless(got)
+    want = got.groupby("source")["length"].sum()
+    place = got["sequence_id"] * 1024 + got["offset"]
+    half = got[place < want.sum() / 2].groupby("source")["length"].sum().reindex(want.index, fill_value=0)
+    # in half of the stream lies half of every source, but for a turn and a document
+    assert ((half - want / 2).abs() <= 8 + want / 4 + 1).all()
+
+
+def test_query_windows_hold_the_targets(shipped):
+    rows = [(i, "abc"[i % 3], "some words of text " * (40, 20, 10)[i % 3]) for i in range(1500)]
+    docs = shipped.createDataFrame(rows, "doc_id bigint, source string, text string")
+    got = packing.pack(docs, window=4096, targets={"a": 1.0, "b": 1.0, "c": 2.0}).toPandas()
+    assert gapless(got)
+    shares = got.groupby(["window", "source"])["length"].sum().unstack(fill_value=0)
+    total = got.groupby("source")["length"].sum()
+    lasts = int(min(total["a"] / 1024, total["b"] / 1024, total["c"] / 2048)) - 1
+    assert lasts > 5
+    assert ((shares.loc[: lasts - 1] - [1024, 1024, 2048]).abs() <= 64).all().all()
 
 
 def test_huffman_round_trip_and_lengths():
