@@ -35,8 +35,9 @@ def op1_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", secret_scan.secrets_column(F.col("text")).alias("found"))
-    return docs.select("doc_id", "found.*")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    known = secret_scan.identifiers(docs)
+    return docs.select("doc_id", secret_scan.secrets_column(F.col("text"), known).alias("found")).select("doc_id", "found.*")
 
 
 @query
