@@ -99,7 +99,7 @@ class Code:
             out[word[first]] += np.add.reduceat(here, first)
         over = np.flatnonzero(~fits)
         out[word[over] + 1] += codes[over] << (64 + shift[over]).astype(np.uint64)
-        return out.astype(">u8").tobytes()[: (total + 7) // 8], begins[::CHECKPOINT].astype(np.uint32)
+        return out.astype(">u8").tobytes()[: (total + 7) // 8], begins[::CHECKPOINT]
 
     def decode(self, blocks: list[tuple[bytes, np.ndarray, int]]) -> list[np.ndarray]:
         """The ids of blocks (bits, offsets, number of ids); all stretches between checkpoints of
@@ -220,7 +220,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                 part = batch.slice(first, TOGETHER)
                 begins, counts, docs, sizes, offsets, bits = (part.column(i) for i in range(6))
                 blocks = [
-                    (b, np.frombuffer(o, np.uint32), n)
+                    (b, np.frombuffer(o, np.int64), n)
                     for b, o, n in zip(bits.to_pylist(), offsets.to_pylist(), counts.to_pylist())
                 ]
                 for row, ids in enumerate(code.decode(blocks)):

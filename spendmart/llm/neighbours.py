@@ -11,9 +11,11 @@ radius is learned as well: the sample's true neighbours must lie within it at th
 query that finds fewer than ``k`` rows in a block takes the block's whole index, so that none goes
 short.
 
-Defined results: vectors that are null, empty, zero, of another length than most, or hold null or
-non-finite components take no part; equal vectors tie to the smaller id; rows that repeat a query's
-id are never its neighbours; a null id takes no part.
+Defined results: vectors that are null, empty, zero, or hold null or non-finite components take no
+part; vectors meet those of their own length, and lengths other than the commonest are searched whole;
+components of any size count (vectors are scaled by powers of two, which changes no digit); equal
+vectors tie to the smaller id; rows that repeat a query's id are never its neighbours; a null id takes
+no part; an empty table gives an empty result; columns other than id and vector are not read.
 """
 
 from __future__ import annotations
@@ -103,14 +105,25 @@ def codes_width(codes: np.ndarray) -> int:
     return codes.shape[1]
 
 
-def best_in_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, codes: Codes, k: int) -> list[tuple[int, int, float]]:
-    """(query, id, cosine) of each query's ``k`` best rows that the index retrieves."""
-    index = Index(codes.of(unit(rows)))
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that no square leaves the range of doubles."""
+    _, power = np.frexp(np.abs(x).max(1, keepdims=True))
+    # in two steps: the power may be beyond what one factor can hold
+    half = -power // 2
+    return np.ldexp(np.ldexp(x, half), -power - half)
+
+
+def best_in_block(
+    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, codes: Codes | None, k: int
+) -> list[tuple[int, int, float]]:
+    """(query, id, cosine) of each query's ``k`` best rows that the index retrieves; of all without codes."""
+    rows, queries = scaled(rows), scaled(queries)
     norms = np.sqrt((rows * rows).sum(1))
-    asked = codes.of(unit(queries))
+    index = Index(codes.of(unit(rows))) if codes else None
+    asked = codes.of(unit(queries)) if codes else [None] * len(queries)
     out = []
     for q, vector, code in zip(query_ids, queries, asked):
-        found = index.within(code, codes.radius)
+        found = index.within(code, codes.radius) if index and codes else np.arange(len(rows))
         found = found[ids[found] != q]
         if len(found) < k:
             found = np.flatnonzero(ids != q)
@@ -138,29 +151,31 @@ def nearest(
     if not sizes:
         return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     width = sizes[0]["d"]
-    rows = rows.where(F.size(v) == width)
-    n, n_queries = rows.agg(F.count("*"), F.count_if(F.col("id") % every == 0)).first()
+    usual = F.size(v) == width
+    n, n_queries, n_usual = rows.agg(F.count("*"), F.count_if(F.col("id") % every == 0), F.count_if(usual)).first()
     key = F.xxhash64("id", v)
-    bound = min(1.0, 2 * sample_rows / n) * 2.0**64 - 2.0**63
-    near = rows if n <= sample_rows else rows.where(key.cast("double") <= F.lit(bound))
+    bound = min(1.0, 2 * sample_rows / n_usual) * 2.0**64 - 2.0**63
+    near = rows.where(usual) if n_usual <= sample_rows else rows.where(usual & (key.cast("double") <= F.lit(bound)))
     sample = np.array([r[0] for r in near.orderBy(key).select("vector").limit(sample_rows).collect()])
     codes = learn(unit(sample), k=k, **learning)
 
     n_data, n_asked = -(-n // DATA_BLOCK), max(1, -(-n_queries // QUERY_BLOCK))
     spread = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     own = lambda blocks: F.pmod(F.xxhash64(v, "id"), F.lit(blocks)).cast("int")
-    data = rows.select(own(n_data).alias("d"), spread(n_asked).alias("q"), "id", "vector", F.lit(False).alias("asks"))
+    size = F.size(v).alias("width")
+    data = rows.select(size, own(n_data).alias("d"), spread(n_asked).alias("q"), "id", "vector", F.lit(False).alias("asks"))
     asked = rows.where(F.col("id") % every == 0).select(
-        spread(n_data).alias("d"), own(n_asked).alias("q"), "id", "vector", F.lit(True).alias("asks")
+        size, spread(n_data).alias("d"), own(n_asked).alias("q"), "id", "vector", F.lit(True).alias("asks")
     )
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
         asks = group["asks"].to_numpy()
         ids, x = group["id"].to_numpy(), np.stack(group["vector"].to_numpy())
-        found = best_in_block(ids[asks], x[asks], ids[~asks], x[~asks], codes, k) if asks.any() and not asks.all() else []
+        learned = codes if x.shape[1] == width else None
+        found = best_in_block(ids[asks], x[asks], ids[~asks], x[~asks], learned, k) if asks.any() and not asks.all() else []
         return pd.DataFrame(found, columns=["query_id", "id", "score"])
 
-    met = staged(data.unionAll(asked).groupBy("d", "q").applyInPandas(search, schema), "block-neighbours")
+    met = staged(data.unionAll(asked).groupBy("width", "d", "q").applyInPandas(search, schema), "block-neighbours")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return (
         met.withColumn("rank", F.row_number().over(order))

@@ -276,6 +276,31 @@ def test_neighbours_on_odd_vectors(shipped):
     assert neighbours.nearest(table.where("false")).count() == 0
 
 
+def test_neighbours_of_any_length_and_size(shipped):
+    rng = np.random.default_rng(6)
+    big, odd = rng.normal(size=(120, 8)), rng.normal(size=(40, 3))
+    big[:30] *= 1e200
+    big[30:60] *= 1e-200
+    rows = [(i * 25, list(map(float, x))) for i, x in enumerate(big)] + [(i * 25 + 7, list(map(float, x))) for i, x in enumerate(odd)]
+    rows += [(5000, [1e-320] * 8), (5050, [1.7e308] * 8), (5100, [3.0] * 3)]
+    table = shipped.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn("score", F.lit("x"))
+    got = neighbours.nearest(table, recall=1.0).toPandas()
+    unit = {i: np.array(x) / max(map(abs, x)) for i, x in rows}
+    unit = {i: x / np.sqrt((x * x).sum()) for i, x in unit.items()}
+    hits = total = 0
+    for q in (i for i, _ in rows if i % 50 == 0):
+        mine = got[got["query_id"] == q].sort_values("rank")
+        others = [i for i in unit if i != q and len(unit[i]) == len(unit[q])]
+        order = sorted((-float(unit[q] @ unit[i]), i) for i in others)[:5]
+        assert len(mine) == len(order) and np.isfinite(mine["score"]).all()
+        assert np.allclose([float(unit[q] @ unit[i]) for i in mine["vec_id"]], mine["score"], atol=1e-12)
+        hits += len(set(mine["vec_id"]) & {i for _, i in order})
+        total += len(order)
+        if len(unit[q]) == 3:
+            assert list(mine["vec_id"]) == [i for _, i in order]
+    assert hits >= 0.9 * total
+
+
 def test_index_retrieves_every_code_within_the_radius():
     rng = np.random.default_rng(2)
     codes = rng.integers(0, 256, (400, 4), dtype=np.uint8)
