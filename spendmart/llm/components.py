@@ -1,7 +1,8 @@
 """Connected components of an edge table, by alternating large-star and small-star steps.
 
 Each step is one grouped minimum and one join, so that a node with very many neighbours is
-combined before the shuffle and split in the join. Every step is checkpointed to the shared folder.
+combined before the shuffle and split in the join. Every step is written to the shared folder, and
+the one before is removed.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendmart.staging import staged
+from spendmart.staging import Stages
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -40,9 +41,10 @@ def components(edges: DataFrame, u: str, v: str) -> DataFrame:
         .select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v"))
         .distinct()
     )
-    now, before = staged(now, "edges"), None
+    stages, before = Stages(edges.sparkSession, "edges"), None
+    now = stages.next(now)
     while True:
-        now = staged(_star(staged(_star(now, True), "edges"), False), "edges")
+        now = stages.next(_star(stages.next(_star(now, True)), False))
         print_of = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if print_of == before:
             break
