@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from .schemas import require_columns
 from .sinks.files import write_partitioned
 from .sources.merged import aligned
+from .staging import remove
 
 ROWS, MANIFESTS = "rows", "loads"
 #: The folder name of a null.
@@ -87,7 +88,9 @@ def write_load(
     require_columns(rows.columns, [*layout.folders, *layout.keys], "load")
     load = new_load()
     folder = f"{path}/{ROWS}/load={load}"
-    write_partitioned(rows, folder, layout.folders, mode="errorifexists", gather=gather, file_rows=file_rows)
+    write_partitioned(
+        rows, folder, layout.folders, mode="errorifexists", gather=gather, merge_small=True, file_rows=file_rows
+    )
     stored = T.StructType([f for f in rows.schema if f.name not in layout.folders])
     partitions = [layout.schema[c] for c in layout.folders]
     written = spark.read.schema(T.StructType([*stored, *partitions])).parquet(folder)
@@ -175,14 +178,3 @@ def remove_superseded(spark: SparkSession, path: str, layout: Layout) -> int:
     for load in gone:
         remove(spark, f"{path}/{ROWS}/load={load}")
     return len(gone)
-
-
-def remove(spark: SparkSession, path: str) -> bool:
-    """Delete a folder; whether there was one."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..loads import exists
 from ..operators.geo import curate_targets, rename_targets
 from ..operators.numbering import number_file_rows, number_in_order, row_range
 from ..schemas import DIM_COUNTRY_COLUMNS, GEO_FIRST_ROW, GEO_LAST_ROW, require_columns
 from ..sources.files import project
 from ..sources.slices import file_row_range
+from ..staging import exists
 
 
 def country_names(table: DataFrame) -> DataFrame:

@@ -31,6 +31,7 @@ def write_partitioned(
     *,
     mode: str = "overwrite",
     gather: bool = True,
+    merge_small: bool = False,
     file_rows: int | None = None,
 ) -> None:
     """Write Parquet in ``name=value`` folders.
@@ -41,17 +42,20 @@ def write_partitioned(
     ``gather`` brings rows of a partition together through Spark's REBALANCE, which also cuts a
     partition that is too large into several tasks (a plain repartition would give a hot day
     to one). Small partitions are not merged into one task: the files stay as many, and one
-    task would open them one after another.
+    task would open them one after another. ``merge_small`` lets Spark merge them up to its advisory
+    size, for folders that are few or large.
 
     Without ``gather`` each task writes the days it read and nothing is shuffled: right for
     input files that are already large and hold one day each.
 
-    While it writes, merging of small partitions is off for the whole session: don't run other
-    queries in it meanwhile. Days whose rows were all rejected keep their earlier partition.
+    Without ``merge_small``, merging is off for the whole session while it writes: don't run other
+    queries in it meanwhile. Days whose rows were all rejected keep their earlier partition (loads,
+    in ``spendmart.loads``, empty them).
     """
     tasks = nullcontext()
     if gather:
         df = df.hint("rebalance", *partitions)
+    if gather and not merge_small:
         tasks = setting(df.sparkSession, "spark.sql.adaptive.coalescePartitions.enabled", "false")
     writer = df.write.mode(mode).partitionBy(*partitions)
     if mode == "overwrite":

@@ -42,3 +42,36 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _at(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, at = _at(spark, path)
+    return files.exists(at)
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder, on whatever file system it lies; whether there was one."""
+    files, at = _at(spark, path)
+    return files.delete(at, True)
+
+
+class Stages:
+    """Tables written one after another, of which only the last is still needed."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name = spark, name
+        self.paths: list[str] = []
+
+    def next(self, df: DataFrame) -> DataFrame:
+        """Write ``df``, which may read the table before, and remove the tables before."""
+        path = new_path(self.spark, self.name)
+        df.write.parquet(path)
+        for old in self.paths:
+            remove(self.spark, old)
+        self.paths = [path]
+        return self.spark.read.schema(df.schema).parquet(path)

@@ -194,7 +194,7 @@ FROM raw WHERE {_WELL_FORMED}""",
          CASE WHEN key % 7 = 0 THEN '' WHEN key % 11 = 0 THEN substr(day, 1, 4) || '0231'
               WHEN key % 13 = 0 THEN substr(day, 1, 6) || '02' ELSE substr(day, 1, 6) || '01' END AS file_day,
          CASE WHEN key % 7 = 0 THEN 'no_day' WHEN key % 11 = 0 THEN 'no_such_day' END AS skipped
-  FROM src) GROUP BY file_name, file_day, skipped""",
+  FROM src WHERE key % 17 <> 0) GROUP BY file_name, file_day, skipped""",
     ),
     "file_date_filter": _select(
         ORDERS,

@@ -138,11 +138,12 @@ def file_date_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def file_account(spark: SparkSession, sf: str) -> DataFrame:
-    """Real files, some without a day, with an impossible one or a doubled suffix: which are read,
-    which are skipped and why, and how many lines were read. One listing serves both."""
+    """Real files, some of another kind, without a day, with an impossible one or a doubled suffix:
+    which are read, which are skipped and why, and how many lines were read. One listing serves both."""
     key, month = F.col("key"), F.substring("day", 1, 6)
     name = (
-        F.when(key % 7 == 0, F.concat(F.lit("raw_data_fb_"), month, F.lit(".txt")))
+        F.when(key % 17 == 0, F.concat(F.lit("raw_data_fb_"), month, F.lit("01.csv")))
+        .when(key % 7 == 0, F.concat(F.lit("raw_data_fb_"), month, F.lit(".txt")))
         .when(key % 11 == 0, F.concat(F.lit("raw_data_fb_"), F.substring("day", 1, 4), F.lit("0231.txt")))
         .when(key % 13 == 0, F.concat(F.lit("raw_data_fb_"), month, F.lit("02.txt.txt")))
         .otherwise(F.concat(F.lit("raw_data_fb_"), month, F.lit("01.txt")))
