@@ -8,8 +8,9 @@
    (uniform prior) that the similarity reaches the threshold falls below ``miss``. Survivors are
    confirmed on their full sets; confirmed links give components.
 4. Buckets that still hold several components are compared across components, in blocks, in the
-   same sequential way; survivors are confirmed and the components merged. Pairs inside one
-   component are never looked at again, and no other pair of a bucket is left out.
+   same sequential way, and survivors are confirmed: first one member of each component, the rest
+   only where those haven't merged the bucket's components. Pairs inside one component are never
+   looked at again, and no other pair of a bucket is left out.
 
 Defined results: null, empty and wordless texts have size 0 and are linked with nothing; fewer
 words than a shingle give one shingle; repeated rows of an id are texts of their own that share a
@@ -201,8 +202,13 @@ def _short(shingles: DataFrame) -> DataFrame:
     return shingles.mapInArrow(lean(cut), "id bigint, short binary")
 
 
-def _pairs_of(sig: np.ndarray, left: np.ndarray, right: np.ndarray, comp: np.ndarray, threshold: float, miss: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of different components that survive; the first batches as whole tables."""
+def _pairs_of(
+    sig: np.ndarray, left: np.ndarray, right: np.ndarray, comp: np.ndarray, met: np.ndarray, threshold: float, miss: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of different components that survive; the first batches as whole tables.
+
+    Two rows that have both ``met`` were compared before.
+    """
     least = least_matches(threshold, miss)
     matches = np.zeros((len(left), len(right)), np.uint8)
     for step in range(2):
@@ -212,6 +218,7 @@ def _pairs_of(sig: np.ndarray, left: np.ndarray, right: np.ndarray, comp: np.nda
         if not alive.any():
             return left[:0], right[:0]
     alive &= comp[left][:, None] != comp[right][None, :]
+    alive &= ~(met[left][:, None] & met[right][None, :])
     if left is right:
         alive &= np.tri(len(left), k=-1, dtype=bool).T
     x, y = np.nonzero(alive)
@@ -227,7 +234,7 @@ def _pairs_of(sig: np.ndarray, left: np.ndarray, right: np.ndarray, comp: np.nda
 def _across(members: DataFrame, sigs: DataFrame, shingles: DataFrame, threshold: float, miss: float) -> DataFrame:
     """Likely pairs of different components in the same bucket, block against block.
 
-    ``members``: bucket, band, id, comp. A bucket of many members is dealt over blocks of about
+    ``members``: bucket, band, id, comp, met. A bucket of many members is dealt over blocks of about
     ``BLOCK``, and each pair of blocks is a group of its own; smaller buckets are grouped some
     thousands of rows together. A pair is looked at in the first band that it shares, and its
     sets, cut to 32 bits a name, must come within a hundredth of the threshold.
@@ -242,7 +249,7 @@ def _across(members: DataFrame, sigs: DataFrame, shingles: DataFrame, threshold:
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
         .select(
             F.when(F.col("of") > 1, F.col("bucket")).otherwise(small).alias("chunk"), (F.col("of") > 1).alias("large"),
-            "bucket", "band", "id", "comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
+            "bucket", "band", "id", "comp", "met", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
         )
         .join(sigs.select("id", "sig").hint("merge"), "id")
         .join(_short(shingles).hint("merge"), "id")
@@ -254,6 +261,7 @@ def _across(members: DataFrame, sigs: DataFrame, shingles: DataFrame, threshold:
         i, j = int(group["i"].iloc[0]), int(group["j"].iloc[0])
         own, buckets, band = group["block"].to_numpy(), group["bucket"].to_numpy(), group["band"].to_numpy()
         sig, comp, ids = _sig_table(group["sig"]), group["comp"].to_numpy(), group["id"].to_numpy()
+        met = group["met"].to_numpy()
         sets = [np.frombuffer(x, np.uint32) for x in group["short"]]
         edges = np.flatnonzero(np.diff(buckets, prepend=buckets[0] - 1 if len(buckets) else 0))
         found: set[tuple[int, int]] = set()
@@ -261,7 +269,7 @@ def _across(members: DataFrame, sigs: DataFrame, shingles: DataFrame, threshold:
             rows = np.arange(a, b)
             left = rows[own[rows] == i]
             right = left if i == j else rows[own[rows] == j]
-            xs, ys = _pairs_of(sig, left, right, comp, threshold, miss)
+            xs, ys = _pairs_of(sig, left, right, comp, met, threshold, miss)
             if len(xs):
                 same = (sig[xs] == sig[ys]).reshape(len(xs), -1, BAND).all(2)
                 first = same.argmax(1) >= band[a]
@@ -279,6 +287,15 @@ def _across(members: DataFrame, sigs: DataFrame, shingles: DataFrame, threshold:
     return dealt.groupBy("large", "chunk", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct()
 
 
+def _open_members(buckets: DataFrame, comp: DataFrame) -> DataFrame:
+    """bucket, band, id, comp, met of the buckets that hold several components."""
+    at = buckets.join(comp.withColumnRenamed("node", "id").hint("merge"), "id", "left").select(
+        "bucket", "band", "id", F.coalesce("component", "id").alias("comp"), "met"
+    )
+    several = at.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    return at.join(several.select("bucket").hint("merge"), "bucket", "left_semi")
+
+
 def near_duplicates(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, threshold: float = 0.75, miss: float = 1e-6
 ) -> DataFrame:
@@ -309,17 +326,25 @@ def near_duplicates(
     links = staged(_confirmed(pairs, shingles, threshold).distinct(), "star-links")
     comp = staged(components(links, "a", "b"), "components")
 
-    at = buckets.join(comp.withColumnRenamed("node", "id").hint("merge"), "id", "left").select(
-        "bucket", "band", "id", F.coalesce("component", "id").alias("comp")
-    )
-    open_buckets = at.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    members = staged(at.join(open_buckets.select("bucket").hint("merge"), "bucket", "left_semi"), "open-buckets")
-    rest = staged(_across(members, sigs, shingles, threshold, miss), "cross-pairs")
-    more = _confirmed(rest.join(pairs, ["a", "b"], "left_anti"), shingles, threshold)
+    members = staged(_open_members(buckets.withColumn("met", F.lit(False)), comp), "open-buckets")
+    first = members.groupBy("bucket", "comp").agg(F.min("id").alias("id"))
+    several = members.join(first.select("bucket", "id").withColumn("first", F.lit(True)).hint("merge"), ["bucket", "id"], "left")
+    several = staged(several.withColumn("met", F.coalesce("first", F.lit(False))).drop("first"), "open-members")
+    chosen = several.where("met").withColumn("met", F.lit(False))
+    likely = _across(chosen, sigs, shingles, threshold, miss).join(pairs, ["a", "b"], "left_anti")
+    more = staged(_confirmed(likely, shingles, threshold), "first-links")
+    links = links.unionAll(more)
+    if not several.where("not met").isEmpty():
+        comp = staged(components(links, "a", "b"), "components")
+        # what is left: buckets with several components, and members that haven't met the others
+        left = several.where("not met").select("bucket").distinct()
+        rest = _open_members(several.drop("comp").join(left.hint("merge"), "bucket", "left_semi"), comp)
+        likely = _across(staged(rest, "open-rest"), sigs, shingles, threshold, miss).join(pairs, ["a", "b"], "left_anti")
+        links = links.unionAll(_confirmed(likely, shingles, threshold))
 
     # ids of one class, and the representatives that links join
     copies = full.join(reps.withColumnRenamed("id", "rep"), "set_name").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    everything = links.unionAll(more).unionAll(copies.where("a <> b"))
+    everything = links.unionAll(copies.where("a <> b"))
     final = components(everything, "a", "b")
     return (
         profile.select("id", "n_shingles")
