@@ -365,7 +365,7 @@ def trained_model(texts: DataFrame, v: Vocabulary, *, states: int, rounds: int,
     """The model after ``rounds`` rounds over ``texts`` (symbols)."""
     model = Model.begin(v.shares(), states, seed)
     # every task sends sums as large as the model, so a task takes some millions of tokens
-    tasks = max(2 * texts.sparkSession.sparkContext.defaultParallelism, v.n_tokens // (2 * BUFFER))
+    tasks = max(2 * texts.sparkSession.sparkContext.defaultParallelism, v.n_tokens // BUFFER)
     texts = texts.coalesce(tasks)
     for _ in range(rounds if v.n_texts else 0):
         model = _round(texts, model, v, smooth)

@@ -9,7 +9,8 @@ A file set is a folder: ``codes`` (id, length) and ``blocks`` (part, block, doc_
 offsets, bits), both Parquet, written and read by Spark, so any store will do.
 
 Defined results: a null or empty text is its end id alone; a null document id comes first; rows that
-repeat a document id follow one another; an empty table gives a file set without blocks.
+repeat a document id follow one another; a very long document is a block of its own, however large;
+columns other than id and text are not read; an empty table gives a file set without blocks.
 """
 
 from __future__ import annotations

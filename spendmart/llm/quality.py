@@ -7,8 +7,9 @@ set, for each group, the score from which a document is rejected; a group in whi
 rows mix rejects nothing.
 
 Defined results: a null or empty text has no words and fails the base rules; without usable
-labels only the base rules decide; repeated rows are judged one by one; other columns, whatever
-their names, pass through untouched.
+labels only the base rules decide; repeated rows are judged one by one; a score that ties with its
+group's cut is rejected like those beyond it; very long texts are read whole, one at a time; an empty
+table gives an empty result; other columns, whatever their names, pass through untouched.
 """
 
 from __future__ import annotations

@@ -1,24 +1,30 @@
-"""Exact repeats of word windows across documents, by recompression rounds.
-
-Round 1 renames, in each text, short runs of one word and then pairs of a left and a right symbol
-(sides are bits of the symbols' names). A renaming looks at a few neighbours only, so equal
-stretches of words are cut alike inside, whatever surrounds them. Names are hashes of content:
-all tasks give equal symbols equal names without a common dictionary.
-
-Round 2 names the ``PHRASE`` words from each symbol start that is least in some window's interior.
-The interior depends on the window alone, so equal windows have equally named anchors. Spark counts
-names globally; a window whose anchor is named once cannot be repeated and is done.
-
-Round 3 names the remaining windows as wholes (96 bits), and Spark finds each name's earliest start.
-All later starts are repeats; their words are removed.
-
-Rows between rounds are packed: a task sorts names by target, sends each name once however often it
+"""Exact repeats of word windows across documents, by recompression.
+
+A recompression round renames a sequence of symbols twice: maximal runs of one symbol become one, then
+pairs of a left and a right symbol become one, where sides are bits of the symbols' names, the same for
+all texts. The second round works on the symbols of the first. Names are hashes of content, so all
+tasks name equal symbols alike without a common dictionary. Each symbol carries the stretch of words
+that its name and borders follow from; within it, whatever surrounds it, equal words are cut and named
+alike.
+
+Of each window the least symbol is taken whose stretch lies inside the window: it depends on the window
+alone. Spark counts these symbols, with the ``PHRASE`` words they begin, over all texts; a window whose
+symbol occurs once cannot be repeated and is done. The other windows are verified down to the words:
+they are named as wholes (96 bits), and Spark finds each name's earliest start. All later starts are
+repeats; their words are removed.
+
+A window of 20 words has symbols of its own after two rounds in nearly all cases, and after three in
+fewer places: there are then half as many anchors more to send. Windows without one (inside long runs,
+say) take the phrase at a fixed place instead.
+
+Rows between steps are packed: a task sorts names by target, sends each name once however often it
 holds it, and settles what it can see itself. So a name that a third of all texts hold costs a row
 per task. Texts travel in compressed packs.
 
-Defined results: a null, empty or short text (fewer words than a window) loses nothing; with a
-repeated id, a window is earlier if its id or, ids being equal, its start is smaller, so equal rows
-of one id keep all their words; a null id comes after all others; an empty table gives no rows.
+Defined results: a null, empty or short text (fewer words than a window) loses nothing; very long
+texts are read whole; columns other than id and text are not read; with a repeated id, a window is
+earlier if its id or, ids being equal, its start is smaller, so equal rows of one id keep all their
+words; a null id comes after all others; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,6 +32,7 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +42,9 @@ from pyspark.sql import functions as F
 
 from spendmart.llm.common import Words, chunks, joined_names, mixed
 
-WINDOW, PHRASE, REACH = 20, 5, 5
+WINDOW, PHRASE, ROUNDS = 20, 5, 2
+#: Where a window without a symbol of its own takes its phrase, and the bit that marks such a place.
+ELSEWHERE, FALLBACK = 7, np.uint32(1 << 31)
 LAST = np.int64(2**63 - 1)
 #: Names a task gathers before it sends them on.
 FLUSH = 1 << 20
@@ -48,39 +57,88 @@ _ROW_ARROW = pa.schema(
 NAMES, SETTLED, TEXTS, COPIES = 0, 1, 2, 3
 
 
-def symbol_starts(words: np.ndarray) -> np.ndarray:
-    """Which words begin a symbol after a round of run naming and a round of pair naming."""
-    n = len(words)
-    if not n:
-        return np.zeros(0, bool)
-    starts = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
-    length = np.diff(np.append(starts, n))
-    begins = np.ones(n, bool)
-    for inside in (1, 2):  # runs of two or three words are one symbol; longer ones stay words
-        rows = starts[(length > inside) & (length <= 3)] + inside
-        begins[rows] = False
-    at = np.flatnonzero(begins)
-    run = np.diff(np.append(at, n))
-    side = mixed(words[at] * np.uint64(3) + run.astype(np.uint64)) & np.uint64(1)
-    joined = np.flatnonzero((side[:-1] == 0) & (side[1:] == 1)) + 1
-    begins[at[joined]] = False
-    return begins
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Symbols(NamedTuple):
+    """A sequence of symbols: names, the words that each covers, and the words that decide on it."""
+
+    names: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+    def runs(self) -> Symbols:
+        """Maximal runs of one symbol as one: their borders follow from the symbols next to them."""
+        names = self.names
+        first = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
+        last = np.append(first[1:], len(names)) - 1
+        size = last - first + 1
+        made = names[first].copy()
+        several = np.flatnonzero(size > 1)
+        made[several] = mixed(made[several] * _MIX + size[several].astype(np.uint64))
+        return Symbols(made, self.starts[first], self.ends[last], self._before()[first], self._after()[last])
+
+    def _before(self) -> np.ndarray:
+        """What decides on the symbol before each; the first one's lies outside."""
+        return np.append(self.low[0] - 1, self.low[:-1])
+
+    def _after(self) -> np.ndarray:
+        return np.append(self.high[1:], self.high[-1] + 1)
+
+    def pairs(self, seed: int) -> Symbols:
+        """A left symbol and the right one behind it as one. What is a left symbol's lot follows from
+        the next symbol, what is a right one's from the one before.
+        """
+        names = self.names
+        right = (mixed(names + np.uint64(seed)) & np.uint64(1)).astype(bool)
+        joins = np.append(~right[:-1] & right[1:], False)
+        at = np.flatnonzero(~np.append(False, joins[:-1]))
+        after = np.minimum(at + 1, len(names) - 1)
+        made = names[at]
+        both = np.flatnonzero(joins[at])
+        made[both] = mixed(made[both] * _MIX + mixed(names[after[both]]))
+        ends = np.where(joins[at], self.ends[after], self.ends[at])
+        low = np.where(right[at], self._before()[at], self.low[at])
+        high = np.where(right[at], self.high[at], self._after()[at])
+        return Symbols(made, self.starts[at], ends, low, high)
+
+
+def recompressed(words: np.ndarray, rounds: int = ROUNDS) -> Symbols:
+    at = np.arange(len(words))
+    symbols = Symbols(words, at, at + 1, at, at + 1)
+    for r in range(rounds if len(words) else 0):
+        symbols = symbols.runs().pairs(2 * r + 1)
+    return symbols
 
 
 def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each window of the sequence, the place of its anchor; and the phrase names by place."""
-    names = joined_names(words, PHRASE)
-    n = len(words) - WINDOW + 1
+    """For each window of the sequence, the place of its anchor; and the names by place.
+
+    Places from the number of words on are those of windows without a symbol of their own.
+    """
+    total = len(words)
+    phrases = np.resize(joined_names(words, PHRASE), total) if total >= PHRASE else np.zeros(total, np.uint64)
+    n = total - WINDOW + 1
     if n <= 0:
-        return np.zeros(0, np.int64), names
-    value = np.where(symbol_starts(words)[: len(names)], names, _MOST)
-    best, place = value[REACH : REACH + n].copy(), np.full(n, REACH)
-    for j in range(REACH + 1, WINDOW - REACH + 1):
-        other = value[j : j + n]
-        less = other < best
-        np.copyto(best, other, where=less)
+        return np.zeros(0, np.int64), np.concatenate([phrases, phrases])
+    symbols = recompressed(words)
+    names = phrases.copy()
+    names[symbols.starts] = mixed(symbols.names * _MIX + phrases[symbols.starts])
+    value = np.full(total, _MOST)
+    value[symbols.starts] = names[symbols.starts]
+    # how far a window must reach to the left and to the right of a start
+    left, right = np.full(total, WINDOW, np.int16), np.full(total, WINDOW, np.int16)
+    left[symbols.starts] = np.minimum(symbols.starts - symbols.low, WINDOW)
+    right[symbols.starts] = np.minimum(np.maximum(symbols.high - symbols.starts, PHRASE), WINDOW + 1)
+    best, place = np.full(n, _MOST), np.full(n, total + ELSEWHERE)
+    for j in range(WINDOW - PHRASE + 1):
+        part = slice(j, j + n)
+        less = (value[part] < best) & (left[part] <= j) & (right[part] <= WINDOW - j)
+        np.copyto(best, value[part], where=less)
         place[less] = j
-    return np.arange(n) + place, names
+    return np.arange(n) + place, np.concatenate([names, mixed(phrases + np.uint64(1))])
 
 
 class Texts:
@@ -96,10 +154,22 @@ class Texts:
         n = len(self.anchor)
         self.whole = self.of[:n] == self.of[WINDOW - 1 :] if n else np.zeros(0, bool)
 
+    def local(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The text of each place, and the place as texts are told of it."""
+        total = len(self.of)
+        word = places % max(total, 1)
+        of = self.of[word]
+        at = (word - self.first[of]).astype(np.uint32)
+        return of, np.where(places < total, at, at | FALLBACK)
+
+    def place(self, text: int, at: np.ndarray) -> np.ndarray:
+        """Places from what text ``text`` was told."""
+        return self.first[text] + (at & ~FALLBACK).astype(np.int64) + np.where(at & FALLBACK, len(self.of), 0)
+
 
 def tags(texts: list[bytes]) -> np.ndarray:
-    """Tell apart texts that share an id."""
-    return np.array([int.from_bytes(hashlib.blake2b(t, digest_size=2).digest(), "little") for t in texts], np.uint16)
+    """Tell apart texts that share an id: two unlike ones are taken for one in 2^32 cases."""
+    return np.array([int.from_bytes(hashlib.blake2b(t, digest_size=4).digest(), "little") for t in texts], np.uint32)
 
 
 def _ids(column: pa.Array) -> np.ndarray:
@@ -179,12 +249,12 @@ def _name_anchors(buckets: int):
             ids, texts = _ids(batch.column(0)), batch.column(1).to_pylist()
             for first, part in chunks(texts):
                 t = Texts(part)
-                used = np.zeros(len(t.words.names) + 1, bool)
+                used = np.zeros(len(t.names), bool)
                 used[t.anchor[t.whole]] = True
-                at = np.flatnonzero(used)
-                of = t.of[at]
-                if len(at):
-                    gathered.add(t.names[at], ids[first + of], tags(part)[of], (at - t.first[of]).astype(np.uint32))
+                places = np.flatnonzero(used)
+                if len(places):
+                    of, at = t.local(places)
+                    gathered.add(t.names[places], ids[first + of], tags(part)[of], at)
                 if gathered.size >= FLUSH:
                     yield _batch(_anchor_rows(gathered, buckets))
         if gathered.size:
@@ -215,7 +285,7 @@ def _repeated_anchors(buckets: int):
             name = _column(table, "name", np.uint64, placed)
             seen, count = np.unique(np.concatenate([name, _column(table, "name", np.uint64, bare)]), return_counts=True)
             hit = np.flatnonzero(count[np.searchsorted(seen, name)] > 1)
-            doc, tag = _column(table, "doc", np.int64, placed)[hit], _column(table, "tag", np.uint16, placed)[hit]
+            doc, tag = _column(table, "doc", np.int64, placed)[hit], _column(table, "tag", np.uint32, placed)[hit]
             out += _settled(doc, tag, _column(table, "pos", np.uint32, placed)[hit], buckets)
         return pa.Table.from_pylist(out, schema=_ROW_ARROW)
 
@@ -269,7 +339,7 @@ def _marks(table: pa.Table, kinds: np.ndarray) -> tuple[dict[tuple[int, int], np
     rows = np.flatnonzero(kinds == SETTLED)
     found: dict[tuple[int, int], np.ndarray] = {}
     if len(rows):
-        doc, tag, pos = (_column(table, c, k, rows) for c, k in (("doc", np.int64), ("tag", np.uint16), ("pos", np.uint32)))
+        doc, tag, pos = (_column(table, c, k, rows) for c, k in (("doc", np.int64), ("tag", np.uint32), ("pos", np.uint32)))
         order = np.lexsort((tag, doc))
         doc, tag, pos = doc[order], tag[order], pos[order]
         edges = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])))
@@ -278,7 +348,7 @@ def _marks(table: pa.Table, kinds: np.ndarray) -> tuple[dict[tuple[int, int], np
     copies: set[tuple[int, int]] = set()
     for i in np.flatnonzero(kinds == COPIES):
         doc, tag = table.column("doc")[i].as_py(), table.column("tag")[i].as_py()
-        copies |= set(zip(np.frombuffer(doc, np.int64).tolist(), np.frombuffer(tag, np.uint16).tolist()))
+        copies |= set(zip(np.frombuffer(doc, np.int64).tolist(), np.frombuffer(tag, np.uint32).tolist()))
     return found, copies
 
 
@@ -307,10 +377,10 @@ def _name_windows(buckets: int):
             t, tag = Texts(texts), tags(texts)
             if not len(t.anchor):
                 continue
-            again = np.zeros(len(t.words.names), bool)
+            again = np.zeros(len(t.names), bool)
             for d, key in enumerate(zip(ids.tolist(), tag.tolist())):
                 if key in marked and key not in copies:
-                    again[t.first[d] + marked[key]] = True
+                    again[t.place(d, marked[key])] = True
             at = np.flatnonzero(again[t.anchor] & t.whole)
             if not len(at):
                 continue
@@ -334,7 +404,7 @@ def _later_windows(buckets: int):
         rows = np.flatnonzero(kinds == NAMES)
         if len(rows):
             gathered = Gathered()
-            types = (("name", np.uint64), ("more", np.uint32), ("doc", np.int64), ("tag", np.uint16), ("pos", np.uint32))
+            types = (("name", np.uint64), ("more", np.uint32), ("doc", np.int64), ("tag", np.uint32), ("pos", np.uint32))
             gathered.add(*(_column(table, c, k, rows) for c, k in types))
             out += [r for r in _window_rows(gathered, buckets) if r["kind"] == SETTLED]
         return pa.Table.from_pylist(out, schema=_ROW_ARROW)
@@ -372,15 +442,15 @@ def _copy_rows(source: DataFrame, buckets: int) -> DataFrame:
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, tag = batch.column(0).to_numpy().astype(np.int64), batch.column(1).to_numpy().astype(np.uint16)
+            doc, tag = batch.column(0).to_numpy().astype(np.int64), batch.column(1).to_numpy().astype(np.uint32)
             yield _batch([_row(b, COPIES, doc=doc[r], tag=tag[r]) for b, r in _by(_doc_bucket(doc, tag, buckets))] if len(doc) else [])
 
     def tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = tags([t or b"" for t in batch.column(3).to_pylist()]).astype(np.int32)
+            found = tags([t or b"" for t in batch.column(3).to_pylist()]).astype(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found)], names=["id", "hash", "n", "tag"])
 
-    narrow = hashed.mapInArrow(tagged, "id bigint, hash string, n int, tag int")
+    narrow = hashed.mapInArrow(tagged, "id bigint, hash string, n int, tag bigint")
     first = narrow.groupBy("hash", "n").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
     later = narrow.join(first.hint("merge"), ["hash", "n"]).where("id > first").select("id", "tag")
     return later.mapInArrow(mark, _ROW)

@@ -249,6 +249,49 @@ def test_repeats_equal_plain_search(docs, odd_docs, no_docs):
         assert Counter(map(tuple, got)) == without_repeats(rows)
 
 
+def test_repeats_in_texts_of_few_words(shipped):
+    """Long runs, periods, copies inside and across texts, at beginnings and ends."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for i in range(60):
+        words = list(rng.choice(["a", "b", "c", "d"], rng.integers(0, 120), p=[0.6, 0.2, 0.1, 0.1]))
+        words += ["x"] * int(rng.integers(0, 50)) + ["y", "z"] * int(rng.integers(0, 30))
+        if rows:
+            other = rows[rng.integers(0, len(rows))][1].split()
+            at = int(rng.integers(0, len(words) + 1))
+            begin = int(rng.integers(0, len(other) + 1))
+            words[at:at] = other[begin : begin + int(rng.integers(15, 60))]
+        rows.append((int(rng.integers(0, 40)), " ".join(words)))
+    got = repeats.without_repeats(shipped.createDataFrame(rows, "doc_id bigint, text string").repartition(7))
+    assert Counter(map(tuple, got.select("doc_id", "n_words", "n_removed", "kept_sha256").collect())) == without_repeats(rows)
+
+
+def test_equal_stretches_have_equal_symbols():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        inside = rng.integers(0, rng.integers(2, 9), 30).astype(np.uint64)
+        found = []
+        for _ in range(3):
+            before, after = (rng.integers(0, 6, rng.integers(0, 30)).astype(np.uint64) for _ in range(2))
+            symbols = repeats.recompressed(np.concatenate([before, inside, after]))
+            own = (symbols.low >= len(before)) & (symbols.high <= len(before) + len(inside))
+            found.append(
+                [tuple(x) for x in np.stack([symbols.names[own], *(c[own].astype(np.uint64) - np.uint64(len(before)) for c in symbols[1:])], 1).tolist()]
+            )
+        assert found[0] == found[1] == found[2]
+
+
+def test_rounds_name_runs_and_pairs():
+    words = np.array([5, 5, 5, 7, 9, 9, 7], np.uint64)
+    one = repeats.recompressed(words, 1)
+    covered = [(int(a), int(b)) for a, b in zip(one.starts, one.ends)]
+    assert covered[0][0] == 0 and covered[-1][1] == 7 and all(a[1] == b[0] for a, b in zip(covered, covered[1:]))
+    assert not any(a in (1, 2, 5) for a, _ in covered)  # runs stay together
+    long = np.random.default_rng(0).integers(0, 2**60, 20_000).astype(np.uint64)
+    sizes = [len(repeats.recompressed(long, r).names) for r in range(4)]
+    assert all(0.7 < b / a < 0.8 for a, b in zip(sizes, sizes[1:]))  # a quarter goes in each round
+
+
 # --- 5: neighbours
 
 
