@@ -7,8 +7,8 @@ probing all values that near finds every code within the radius. Those are ranke
 the original vectors in double precision.
 
 All rows are indexed. Queries meet them in blocks; a block gives each query its few best only. The
-radius is learned as well: the sample's true neighbours must lie within it at the wanted share. A
-query that finds fewer than ``k`` rows in a block takes the block's whole index, so that none goes
+radius is learned as well: the true neighbours of some sampled rows, found by comparing these with
+all rows, must lie within it at the wanted share. So it narrows as the table grows denser. A query that finds fewer than ``k`` rows in a block takes the block's whole index, so that none goes
 short.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components take no
@@ -20,14 +20,17 @@ no part; an empty table gives an empty result; columns other than id and vector
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from spendmart.llm.common import lean
 from spendmart.staging import staged
 
 SUBSTRING = 8
@@ -38,7 +41,7 @@ _NEAR = _BITS[np.arange(256)[:, None] ^ np.arange(256)[None, :]]
 
 @dataclass(frozen=True)
 class Codes:
-    """The learned projection, and the radius that held the wanted share of true neighbours."""
+    """The learned projection, and the radius that holds the wanted share of true neighbours."""
 
     axes: np.ndarray
     centre: np.ndarray
@@ -54,8 +57,8 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def learn(sample: np.ndarray, *, bits: int = 128, k: int = 5, recall: float = 0.97, steps: int = 20, seed: int = 3) -> Codes:
-    """Rotations for ``bits`` bits, as many at a time as there are dimensions."""
+def learn(sample: np.ndarray, *, bits: int = 128, steps: int = 20, seed: int = 3) -> Codes:
+    """Rotations for ``bits`` bits, as many at a time as there are dimensions; every code is within the radius."""
     rng = np.random.default_rng(seed)
     centre = sample.mean(0)
     x = sample - centre
@@ -69,16 +72,39 @@ def learn(sample: np.ndarray, *, bits: int = 128, k: int = 5, recall: float = 0.
             u, _, v = np.linalg.svd(np.sign(projected @ turn).T @ projected, full_matrices=False)
             turn = (u @ v).T
         parts.append(axes.T @ turn)
-    found = Codes(np.concatenate(parts, 1)[:, : max(bits // 8 * 8, 8)], centre, 0)
-    codes = found.of(sample)
-    near = sample @ sample.T
-    np.fill_diagonal(near, -2)
-    take = min(k, len(sample) - 1)
-    if take < 1:
-        return Codes(found.axes, centre, codes.shape[1] * 8)
-    best = np.argpartition(-near, take - 1, axis=1)[:, :take]
-    apart = np.concatenate([_BITS[codes[i] ^ codes[best[i]]].sum(1) for i in range(len(sample))])
-    return Codes(found.axes, centre, int(np.quantile(apart, recall, method="higher")))
+    width = max(bits // 8 * 8, 8)
+    return Codes(np.concatenate(parts, 1)[:, :width], centre, width)
+
+
+def radius_for(rows: DataFrame, sample_ids: np.ndarray, sample: np.ndarray, codes: Codes, k: int, recall: float) -> int:
+    """The Hamming radius that holds the share ``recall`` of the ``k`` nearest of the sampled rows
+    among all ``rows`` (id, vector). A task sends its best for each sampled row.
+    """
+    asked, own = unit(sample), codes.of(unit(sample))
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nearness, apart = np.full((len(asked), k), -2.0), np.zeros((len(asked), k), np.int64)
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            x = unit(batch.column(1).flatten().to_numpy().reshape(len(ids), -1))
+            new = asked @ x.T
+            new[sample_ids[:, None] == ids[None, :]] = -2.0
+            first = np.argpartition(-new, min(k, len(ids)) - 1, axis=1)[:, :k]
+            there = codes.of(x)
+            far = np.stack([_BITS[own[:, None] ^ there[first[:, j]][:, None]].sum((1, 2)) for j in range(first.shape[1])], 1)
+            both = np.concatenate([nearness, np.take_along_axis(new, first, 1)], 1), np.concatenate([apart, far], 1)
+            order = np.argsort(-both[0], axis=1, kind="stable")[:, :k]
+            nearness, apart = (np.take_along_axis(c, order, 1) for c in both)
+        q, j = np.nonzero(nearness > -2.0)
+        columns = [pa.array(q, pa.int32()), pa.array(nearness[q, j]), pa.array(apart[q, j], pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, names=["q", "nearness", "apart"])
+
+    found = rows.select("id", "vector").mapInArrow(lean(best), "q int, nearness double, apart int")
+    order = Window.partitionBy("q").orderBy(F.desc("nearness"), "apart")
+    nearest_of = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("apart").collect()
+    if not nearest_of:
+        return codes.radius
+    return int(np.quantile([row["apart"] for row in nearest_of], recall, method="higher"))
 
 
 class Index:
@@ -136,11 +162,21 @@ def best_in_block(
 
 
 def nearest(
-    vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 50, k: int = 5, sample_rows: int = 2048, **learning
+    vectors: DataFrame,
+    *,
+    id_col: str = "vec_id",
+    vector_col: str = "embedding",
+    every: int = 50,
+    k: int = 5,
+    sample_rows: int = 2048,
+    radius_rows: int = 256,
+    recall: float = 0.97,
+    bits: int = 128,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest of each row whose id ``every`` divides.
 
-    The rotation is learned on at most ``sample_rows`` rows, the first in a hashed order.
+    The rotation is learned on at most ``sample_rows`` rows, the first in a hashed order; the first
+    ``radius_rows`` of them are compared with all rows to learn the radius.
     """
     v = F.col("vector")
     fine = F.col("id").isNotNull() & (F.size(v) > 0)
@@ -156,8 +192,11 @@ def nearest(
     key = F.xxhash64("id", v)
     bound = min(1.0, 2 * sample_rows / n_usual) * 2.0**64 - 2.0**63
     near = rows.where(usual) if n_usual <= sample_rows else rows.where(usual & (key.cast("double") <= F.lit(bound)))
-    sample = np.array([r[0] for r in near.orderBy(key).select("vector").limit(sample_rows).collect()])
-    codes = learn(unit(sample), k=k, **learning)
+    chosen = near.orderBy(key).select("id", "vector").limit(sample_rows).collect()
+    sample, sample_ids = np.array([r["vector"] for r in chosen]), np.array([r["id"] for r in chosen])
+    codes = learn(unit(sample), bits=bits)
+    radius = radius_for(rows.where(usual), sample_ids[:radius_rows], sample[:radius_rows], codes, k, recall)
+    codes = replace(codes, radius=radius)
 
     n_data, n_asked = -(-n // DATA_BLOCK), max(1, -(-n_queries // QUERY_BLOCK))
     spread = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
