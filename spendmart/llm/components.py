@@ -13,15 +13,16 @@ from pyspark.sql import functions as F
 from spendmart.staging import Stages
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, leasts: Stages) -> DataFrame:
     """Link each node's neighbours (the larger ones for a large star, else the others) to the
-    smallest node at hand.
+    smallest node at hand. The smallest nodes are written first: a join with what is grouped in the
+    same stage could not be split where a node has very many neighbours.
     """
     if large:
         both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         both = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = leasts.next(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
     joined = both.join(least, "u")
     if large:
         moved = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -41,10 +42,10 @@ def components(edges: DataFrame, u: str, v: str) -> DataFrame:
         .select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v"))
         .distinct()
     )
-    stages, before = Stages(edges.sparkSession, "edges"), None
+    stages, leasts, before = Stages(edges.sparkSession, "edges"), Stages(edges.sparkSession, "least-nodes"), None
     now = stages.next(now)
     while True:
-        now = stages.next(_star(stages.next(_star(now, True)), False))
+        now = stages.next(_star(stages.next(_star(now, True, leasts)), False, leasts))
         print_of = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if print_of == before:
             break
