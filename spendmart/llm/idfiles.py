@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spendmart.llm.tokens import tokenized
+from spendmart.llm.tokens import MEMORY, tokenized
 from spendmart.staging import new_path, staged
 
 LONGEST = 18
@@ -167,7 +167,7 @@ _BLOCKS_SQL = "part int, block bigint, n_ids bigint, doc_ids array<bigint>, doc_
 
 def write_ids(
     docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = "word_bpe_49k.json", end_id: int = 2,
-    ids_per_part: int = 1 << 25, word_memory: int = 2_200_000,
+    ids_per_part: int = 1 << 25, word_memory: int = MEMORY,
 ) -> None:
     """Encode all texts into the file set at ``path``, in ascending ``id_col`` order.
 

@@ -24,7 +24,7 @@ from tokenizers import Tokenizer
 from spendmart.llm.common import compactly_staged, lean
 
 #: Words remembered; when they are more, those met only once are forgotten, and beyond half of it the rest.
-MEMORY = 1_500_000
+MEMORY = 2_200_000
 MARKS = (",", ".")
 #: How byte-level vocabularies write bytes that aren't visible characters: as letters from U+0100 on.
 _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
