@@ -32,6 +32,13 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where(F.col("u") != F.col("v")).distinct()
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every edge joins a node of no other edge to its component's smallest node."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("above")).unionAll(edges.select("v", F.lit(0)))
+    nodes = ends.groupBy("node").agg(F.sum("above").alias("above"), F.count("*").alias("n"))
+    return nodes.where((F.col("above") > 1) | ((F.col("above") > 0) & (F.col("n") > F.col("above")))).isEmpty()
+
+
 def components(edges: DataFrame, u: str, v: str) -> DataFrame:
     """``node, component`` for every node of an edge between different nodes; the component is its
     smallest node. Self-links, repeated and reversed edges change nothing; nulls link nothing.
@@ -41,13 +48,9 @@ def components(edges: DataFrame, u: str, v: str) -> DataFrame:
         .select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v"))
         .distinct()
     )
-    stages, before = Stages(edges.sparkSession, "edges"), None
+    stages = Stages(edges.sparkSession, "edges")
     now = stages.next(now)
-    while True:
+    while not _all_stars(now):
         now = stages.next(_star(stages.next(_star(now, True)), False))
-        print_of = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if print_of == before:
-            break
-        before = print_of
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.unionAll(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
