@@ -3,9 +3,12 @@
 import json
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
+from compare import difference
 from jobs import check_quality, curate_geo, ingest, load_country, load_fact
 from plans_text import plan
 from spendmart.plans.clean import clean_ads
@@ -14,6 +17,7 @@ from spendmart.sinks.files import write_clean, write_csv, write_partitioned
 from spendmart.sources import jdbc
 from spendmart.sources.files import read_clean, read_csv, read_raw_lines
 from spendmart.staging import new_path, shared_folder
+from workload import queries
 
 FB = CHANNELS["facebook"]
 
@@ -83,6 +87,25 @@ def test_records_per_file(spark, lines, tmp_path):
     assert read_clean(spark, str(tmp_path / "t")).count() == 25
 
 
+def test_rows_come_back_whole_from_limited_files(spark, tmp_path):
+    days = F.expr("timestamp_ntz'1995-01-01' + make_dt_interval(int(key % 400)) AS o_orderdate")
+    orders = spark.range(1, 2501).withColumnRenamed("id", "key").select(
+        F.col("key").alias("o_orderkey"), (F.col("key") % 31).alias("o_custkey"), F.lit("1-URGENT").alias("o_orderpriority"),
+        days, (F.col("key") * 1.25).cast("double").alias("o_totalprice"),
+    )
+    nations = spark.range(25).selectExpr("int(id) AS n_nationkey", "concat('NATION_', id) AS n_name")
+    for name, table in (("orders", orders), ("nation", nations)):
+        pq.write_table(table.toArrow(), tmp_path / f"{name}.parquet")
+    sf = str(tmp_path)
+    found = contract.queries()["records_per_file"](spark, sf)
+    fields = ["channel", "currency", "country", "day", "impressions", "cost"]
+    written = sorted(map(tuple, queries.clean_ads(spark, sf).select(*fields).collect()), key=repr)
+    assert len(written) > 2000
+    assert sorted(map(tuple, found.select(*fields[:3], "date_id", *fields[4:]).collect()), key=repr) == written
+    assert found.agg(F.max("largest")).first()[0] == queries.FILE_ROWS
+    assert difference(found, contract.oracle_sql()["records_per_file"], sf) is None
+
+
 def test_hot_day_is_written_by_several_tasks(spark, tmp_path):
     rows = spark.range(0, 90_000, 1, 8).select(
         F.sha2(F.col("id").cast("string"), 256).alias("v"),

@@ -239,8 +239,9 @@ FROM fact WHERE NOT (channel_id = 2 AND date_id = '19980615')""",
     ),
     "records_per_file": _select(
         CLEAN,
-        """SELECT channel, year, count(*) AS n_rows, CAST(ceil(count(*) / 400.0) AS BIGINT) AS n_files,
-  least(count(*), 400) AS largest FROM clean GROUP BY channel, year""",
+        f"""SELECT {_CLEAN_COLUMNS}, year, count(*) OVER folder AS n_rows,
+  CAST(ceil(count(*) OVER folder / 400.0) AS BIGINT) AS n_files, least(count(*) OVER folder, 400) AS largest
+FROM clean WINDOW folder AS (PARTITION BY channel, year)""",
     ),
     "geo_csv_roundtrip": _select(
         TARGETS,

@@ -254,13 +254,18 @@ def fact_period(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def records_per_file(spark: SparkSession, sf: str) -> DataFrame:
-    """Clean rows by channel and year with a limit of rows a file: files, and the largest one's rows."""
-    path = new_path(spark, "clean")
-    sinks.write_partitioned(clean_ads(spark, sf), path, ("channel", "year"), file_rows=FILE_ROWS)
-    rows = spark.read.parquet(path).groupBy("channel", "year", F.col("_metadata.file_path")).count()
-    return rows.groupBy("channel", "year").agg(
+    """Clean rows written by channel and year with a limit of rows a file, and read back: each one whole,
+    with its channel's and year's rows, files and the largest one's rows."""
+    path, folder = new_path(spark, "clean"), ["channel", "year"]
+    sinks.write_partitioned(clean_ads(spark, sf), path, tuple(folder), file_rows=FILE_ROWS)
+    rows = spark.read.parquet(path)
+    files = rows.groupBy(*folder, F.col("_metadata.file_path")).count()
+    sizes = files.groupBy(*folder).agg(
         F.sum("count").alias("n_rows"), F.count("*").alias("n_files"), F.max("count").alias("largest")
     )
+    fields = ("currency", "country", F.col("day").alias("date_id"), "impressions", "cost")
+    # one row for each channel and year
+    return rows.join(F.broadcast(sizes), folder).select(*folder, *fields, "n_rows", "n_files", "largest")
 
 
 @query
