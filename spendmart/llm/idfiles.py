@@ -78,10 +78,11 @@ class Code:
             symbols.append(i)
             counts.append(1 << (self.longest - last))
             code += 1
-        table = np.repeat(np.array(symbols, np.uint32), counts)
+        #: For the next ``longest`` bits, the id they begin with and, in the last five bits, its length.
         self.table = np.zeros(1 << self.longest, np.uint32)
+        entries = np.array(symbols, np.uint32) << np.uint32(5) | self.lengths[symbols].astype(np.uint32) if symbols else self.table[:0]
+        table = np.repeat(entries, counts)
         self.table[: len(table)] = table
-        self.table_lengths = self.lengths[self.table] if lengths else self.table.astype(np.int64)
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The bits, and the bit offset of every ``CHECKPOINT``-th id."""
@@ -114,12 +115,12 @@ class Code:
         at = np.concatenate([base + offsets.astype(np.int64) for base, (_, offsets, _) in zip(bases, blocks)])
         out = np.empty((CHECKPOINT, len(at)), np.uint32)
         top, mask, last = 32 - self.longest, np.uint32((1 << self.longest) - 1), len(words) - 1
-        lengths = self.table_lengths
         for step in range(CHECKPOINT):
             # a stretch that ended reads on into what follows; its surplus is cut off below
             value = words[np.minimum(at >> 3, last)] >> (top - (at & 7)).astype(np.uint32) & mask
-            out[step] = self.table[value]
-            at += lengths[value]
+            entry = self.table[value]
+            np.right_shift(entry, np.uint32(5), out=out[step])
+            at += entry & np.uint32(31)
         stretches = out.T
         found, first = [], 0
         for _, offsets, n in blocks:

@@ -1,21 +1,23 @@
 """Token ids of whole texts from a public tokenizer, with a bounded memory of encoded words.
 
 Both vocabularies used here cut texts before a space or line break that stands between other
-characters, so a text may be encoded word by word. Words not met before are encoded in one call per
-batch. Where white space follows white space the cut may lie elsewhere: such texts are encoded whole.
+characters, so a text may be encoded word by word. Words not met lately are cut further, into runs of
+letters, digits and marks, which both vocabularies merge apart. Where white space follows white space
+the cut may lie elsewhere: unless white space makes no difference, such texts are encoded whole.
 """
 
 from __future__ import annotations
 
+import re
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,13 +25,32 @@ from tokenizers import Tokenizer
 
 from spendmart.llm.common import compactly_staged, lean
 
-#: Words remembered; when they are more, those met only once are forgotten, and beyond half of it the rest.
+#: Words remembered; when half as many are new, those not met since the last time are forgotten.
 MEMORY = 2_200_000
-MARKS = (",", ".")
 #: How byte-level vocabularies write bytes that aren't visible characters: as letters from U+0100 on.
 _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 SPACE = chr(BYTES[32])
+#: Letters that normal forms leave alone and that have one lower case each; marks but the apostrophe,
+#: which may begin a contraction.
+_LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
+
+
+class Words(dict[str, "bytes | None"]):
+    """Ids of the words met lately; asked for another, it learns it.
+
+    None marks white space before white space: a text with it must be encoded whole.
+    """
+
+    def __init__(self, tool: Encoder, earlier: dict[str, bytes | None]):
+        self.tool, self.earlier = tool, earlier
+
+    def __missing__(self, word: str) -> bytes | None:
+        ids = self.earlier.get(word)
+        if ids is None:
+            ids = self.tool.learned(word)
+        self[word] = ids
+        return ids
 
 
 class Encoder:
@@ -37,85 +58,71 @@ class Encoder:
         self.memory = memory
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text here
-        self.known: dict[str, bytes | None] = {}
-        self.met_again: set[str] = set()
+        self.merge = self.tokenizer.model.tokenize
         ids = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in ("Word", "word", " word", "\nword")]
         #: Whether case and white space make no difference to the ids.
         self.folds = all(x == ids[0] for x in ids)
-        self._encode(list(MARKS))
-
-    def _learn(self, words: set[str]) -> None:
-        """Keep the ids of new words. Plain words, with or without a comma or full stop behind, go
-        straight to the vocabulary's merges; all others through the whole tokenizer.
-        """
-        known, merge, folds = self.known, self.tokenizer.model.tokenize, self.folds
-        others = []
-        for w in words:
-            base, tail = (w[:-1], known[w[-1]]) if w[-1:] in MARKS and len(w) > 1 else (w, b"")
-            letters = base[1:] if base[:1] == " " else base
-            if not letters.isalpha() or not (letters.isascii() or not folds):
-                others.append(w)
-                continue
-            plain = " " + letters.lower() if folds else base
-            ids = known.get(plain)
-            if ids is None:
-                if folds:
-                    symbols = plain[1:]
-                elif letters.isascii():
-                    symbols = base.replace(" ", SPACE)
-                else:
-                    symbols = base.encode().decode("latin-1").translate(BYTES)
-                known[plain] = ids = array("I", [t.id for t in merge(symbols)]).tobytes()
-            if w is not plain:
-                known[w] = ids + tail  # type: ignore[operator]
-        self._encode(others)
-
-    def _encode(self, words: list[str]) -> None:
-        """Encode words as one sequence of separate pieces and keep each one's ids.
-
-        None marks white space before white space: a text with it must be encoded whole.
+        before, digits = ("", "[0-9]") if self.folds else (" ?", " ?[0-9]+")
+        self.plain = re.compile(f"{before}[{_LETTERS}{_MARKS}0-9]+").fullmatch
+        self.pieces = re.compile(f"{before}[{_LETTERS}]+|{digits}|{before}[{_MARKS}]+").findall
+        self.known = Words(self, {})
+
+    def learned(self, word: str) -> bytes | None:
+        """The ids of a word. The pieces of a plain one go straight to the vocabulary's merges."""
+        if self.plain(word):
+            if word.isalpha() and (not self.folds or word.islower()):
+                return self._merged(word)
+            pieces = self.pieces(word.lower() if self.folds else word)
+            if len(pieces) == 2:  # a word and its comma, as a rule
+                return self.known[pieces[0]] + self.known[pieces[1]]  # type: ignore[operator]
+            return b"".join([self.known[p] for p in pieces]) if pieces != [word] else self._merged(word)  # type: ignore[misc]
+        if not self.folds and word and word[0] in " \n" and (len(word) == 1 or word[1].isspace()):
+            return None
+        return self._whole(word)
+
+    def _merged(self, piece: str) -> bytes:
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(BYTES)
+        elif piece[0] == " ":
+            piece = SPACE + piece[1:]
+        return array("I", [t.id for t in self.merge(piece)]).tobytes()
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def encode(self, texts: list[str | None] | pa.Array) -> Iterator[bytes]:
+        """Little-endian unsigned 32-bit ids of each text; a null text has none.
+
+        Words are cut, told apart and put together again as Arrow arrays: each different one is looked
+        up once.
         """
-        for i in range(0, len(words), 20_000):
-            part = words[i : i + 20_000]
-            made = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(made.ids, "<u4")
-            of = np.array(made.word_ids, np.int64) if len(ids) else np.zeros(0, np.int64)
-            ends = np.searchsorted(of, np.arange(len(part) + 1)) * 4
-            raw = ids.tobytes()
-            self.known.update((w, raw[a:b]) for w, a, b in zip(part, ends[:-1].tolist(), ends[1:].tolist()))
-            self.known.update((w, None) for w in part if w and w[0] in " \n" and (len(w) == 1 or w[1].isspace()))
-
-    def _forget(self) -> None:
-        if len(self.known) > self.memory:
-            kept = islice(self.met_again, self.memory // 2)
-            self.known = {w: self.known[w] for w in kept if w in self.known}
-            self.met_again = set()
-            self._encode(list(MARKS))
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Little-endian unsigned 32-bit ids of each text; a null text has none."""
-        self._forget()
-        parts: list[list[str] | None] = []
-        met: set[str] = set()
-        for text in texts:
-            if not text or "\0" in text:
-                parts.append(None)
-                continue
-            words = text.replace("\n", "\0\n").replace(" ", "\0 ").split("\0")
-            met.update(words)
-            parts.append(words)
-        new = met.difference(self.known)
-        self.met_again.update(met.difference(new))
-        self._learn(new)
-        known = self.known
-        for text, words in zip(texts, parts):
-            if not text:
-                yield b""
-                continue
-            try:
-                yield b"".join([known[w] for w in words])  # type: ignore[union-attr, misc]
-            except TypeError:  # a None among them, or no words
-                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(self.known) > self.memory // 2:
+            self.known.earlier = {}
+            self.known = Words(self, self.known)
+        if not len(texts):
+            return
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.large_string())
+        texts = texts.cast(pa.large_string()).fill_null("")
+        if self.folds:
+            cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        else:
+            marked = pc.replace_substring(pc.replace_substring(texts, "\n", "\0\n"), " ", "\0 ")
+            cut = pc.split_pattern(marked, "\0")
+        words = cut.flatten().dictionary_encode()
+        ids = list(map(self.known.__getitem__, words.dictionary.to_numpy(zero_copy_only=False)))
+        bounds = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        whole = np.zeros(len(texts), bool)
+        if not self.folds:
+            unfit = np.array([x is None for x in ids])[words.indices.to_numpy()]
+            whole = np.diff(np.concatenate([[0], np.cumsum(unfit)])[bounds]) > 0
+            whole |= pc.match_substring(texts, "\0").to_numpy(zero_copy_only=False)
+        joined = pa.array(ids, pa.large_binary()).take(words.indices)
+        _, ends, data = joined.buffers()
+        at = np.frombuffer(ends, np.int64)[joined.offset :][bounds].tolist()
+        raw = memoryview(data if data is not None else b"")
+        for i, (first, last) in enumerate(zip(at, at[1:])):
+            yield self._whole(texts[i].as_py()) if whole[i] else bytes(raw[first:last])
 
 
 @lru_cache(2)
@@ -152,7 +159,7 @@ def tokenized(
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
             for first in range(0, batch.num_rows, 500):
-                some = texts.slice(first, 500).to_pylist()
+                some = texts.slice(first, 500)
                 made = [np.frombuffer(ids + end, "<u4") for ids in tool.encode(some)]
                 inside = []
                 for key, ids in zip(batch.column(batch.num_columns - 2).slice(first, len(some)).to_pylist(), made):

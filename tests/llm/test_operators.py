@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter
 from itertools import combinations
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -369,6 +370,19 @@ def test_word_memory_gives_the_tokenizers_ids(docs, odd_docs, name):
         assert ids == whole(tool.tokenizer, text).tobytes()
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_plain_words_are_merged_without_the_whole_tokenizer(name):
+    tool, few = Encoder(name), Encoder(name, 12)
+    texts = ["Éleierment&&& asñrr, ores*** Ores", "DIESCHENPFÜ!! x1y22. (word) ###|, _a_b ores", None, "", "the the the"]
+    want = [whole(tool.tokenizer, text).tobytes() for text in texts]
+    for one in (tool, few):
+        one.tokenizer = SimpleNamespace(model=one.tokenizer.model)  # without encode
+    assert list(tool.encode(texts[:2] + texts[4:])) == want[:2] + want[4:]
+    for _ in range(3):
+        assert [next(few.encode([text])) for text in texts if text] == [ids for ids in want if ids]
+    assert len(few.known) + len(few.known.earlier) < 40
+
+
 def test_packing_places_each_id_once(docs, odd_docs, no_docs):
     tool = Encoder("byte_bpe_50k.json").tokenizer
     for table in (docs, odd_docs):
